@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doclattice.llm import ngram_join
+from doclattice.llm import decontam, ngram_join, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1,
+    "op4_benchmark_decontamination": decontam.op4,
+    "op8_sharding": sharding.op8,
 }
 
 ORACLE_SQL: dict[str, str] = {}
