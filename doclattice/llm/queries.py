@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doclattice.llm import decontam, ngram_join, sharding
+from doclattice.llm import decontam, ngram_join, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1,
     "op4_benchmark_decontamination": decontam.op4,
+    "op7_substring_dedup": substring.op7,
     "op8_sharding": sharding.op8,
 }
 
