@@ -40,9 +40,9 @@ WINDOW = 13
 #: Words of the sub-runs whose smallest hash deals out a window.
 MINIMIZER = 6
 #: Windows that a bucket holds on average.
-BUCKET_WINDOWS = 3_000_000
+BUCKET_WINDOWS = 1_000_000
 #: Windows that a task gathers before it sends them: then a stretch's header is small beside its hashes.
-SEND_AT = 2_000_000
+SEND_AT = 1_000_000
 
 
 def _alphabet(seed: int) -> Alphabet:

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are hashed at once; one longer document makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: ASCII white space: 0x20 and 0x09 to 0x0D.
 SPACE_SEPARATORS = (0x20, *range(0x09, 0x0E))
