@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doclattice.llm import decontam, ngram_join, sharding, substring
+from doclattice.llm import decontam, ngram_join, packing, sharding, substring, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1,
     "op4_benchmark_decontamination": decontam.op4,
+    "op6_best_fit_packing": packing.op6,
     "op7_substring_dedup": substring.op7,
     "op8_sharding": sharding.op8,
+    "op10_exact_top_k": topk.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
