@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from doclattice.session import materialize
+
 #: K above. 2**17 hashes and counts are 2 MB.
 HEAVY_MAX = 1 << 17
 #: Occurrences that a task counts before it folds them into its summary.
@@ -49,9 +51,7 @@ def heavy_hitters(docs: DataFrame, text: str, occurrences: Callable[[pa.Array],
 
     sums = docs.select(text).mapInArrow(count, "key long, n long, seen long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     # The total sits in one row; with it the bound N/K is applied before anything reaches the driver.
-    from doclattice.session import materialize
-
-    sums = materialize(sums, "heavy")
+    sums = materialize(sums, "heavy", small=True)
     total = sums.agg(F.sum("seen")).first()[0] or 0
     rows = sums.where((F.col("n") > total / HEAVY_MAX) & (F.col("n") > 1)).select("key", "n").toPandas()
     keys = rows["key"].to_numpy(np.int64).view(np.uint64)

@@ -142,13 +142,13 @@ def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:
     on_pages = F.array(*[F.lit(float(sum(r.n for r in whole if r.best == i and r.kind == "page"))) for i in range(n)])
     top = F.array(*[F.lit((t + ALPHA) / (sum(total) + ALPHA * n)) for t in total])
     kinds = rows.agg(F.countDistinct("declared").alias("d"), F.countDistinct("suffix").alias("s")).first()
-    suffixes = materialize(_counts(rows, "suffix", n), "suffixes")
+    suffixes = materialize(_counts(rows, "suffix", n), "suffixes", small=True)
     domains = _counts(rows, "domain", n).withColumn("suffix", F.substring_index("domain", ".", -1)).join(suffixes, "suffix", "left")
     domains = domains.select("domain", _smooth("domain_n", _smooth("suffix_n", top, n), n).alias("domain_p"))
     hosts = rows.where("host is not null").select("host", "domain").distinct().join(_counts(rows, "host", n), "host", "left").join(domains, "domain", "left")
     hosts = hosts.select("host", _smooth("host_n", F.coalesce("domain_p", top), n).alias("prior"))
-    hosts = materialize(hosts, "hosts")
-    declared = materialize(_counts(rows, "declared", n), "declared")
+    hosts = materialize(hosts, "hosts", small=True)
+    declared = materialize(_counts(rows, "declared", n), "declared", small=True)
 
     zero = F.array(*[F.lit(0.0)] * n)
     fused = (

@@ -174,7 +174,7 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     signed = reps.select("doc_id", "n", F.xxhash64("prefix").alias("sign"), "prefix")
     member = signed.select("doc_id", "n", "sign").withColumnRenamed("doc_id", "member")
     grouped = member.groupBy("n", "sign").agg(F.min("member").alias("gid"), F.count("*").alias("members"))
-    members = materialize(member.join(grouped.where("members > 1").drop("members"), ["n", "sign"]).select("gid", "member"), "members")
+    members = materialize(member.join(grouped.where("members > 1").drop("members"), ["n", "sign"]).select("gid", "member"), "members", small=True)
     postings = (
         signed.join(members.where("gid <> member").select(F.col("member").alias("doc_id")), "doc_id", "left_anti")
         .select(F.col("doc_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "shingle"))
@@ -190,12 +190,12 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
         live.where("gid <> pivot.gid").select("gid", "n", "pos", F.col("pivot.gid").alias("other"), F.col("pivot.n").alias("m"), F.col("pivot.pos").alias("at"))
         .where(_could_link(limit, "n", "pos", "m", "at")).select(F.least("gid", "other").alias("a"), F.greatest("gid", "other").alias("b")).distinct()
     )
-    star = materialize(star, "star")
+    star = materialize(star, "star", small=True)
     inside = members.where("gid <> member").select(F.col("gid").alias("a"), F.col("member").alias("b"))
     # Only documents of live groups and of groups with several members are ever compared.
     wanted = live.select(F.col("gid").alias("doc_id")).unionAll(members.select(F.col("member").alias("doc_id"))).distinct()
     texts = materialize(docs.join(wanted, "doc_id", "left_semi"), "texts")
-    first = materialize(links(_expand(star, members).unionAll(inside).distinct(), texts, k, limit), "links")
+    first = materialize(links(_expand(star, members).unionAll(inside).distinct(), texts, k, limit), "links", small=True)
     labels = connected_components(first)
 
     # Between components: what the stars did not settle.
@@ -219,7 +219,7 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     other = loose.select("gid", F.col("member").alias("b"), F.col("component").alias("component2"))
     within = loose.withColumnRenamed("member", "a").join(other, "gid").where("a < b and component <> component2").select("a", "b")
     second = links(rest.unionAll(within).distinct(), texts, k, limit)
-    labels = connected_components(materialize(first.unionAll(second), "links"))
+    labels = connected_components(materialize(first.unionAll(second), "links", small=True))
 
     named = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     rows = profiles.select("doc_id", "n", "s1", "s2").join(named, ["n", "s1", "s2"], "left")

@@ -78,7 +78,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def classified(found: DataFrame) -> DataFrame:
     """Candidates one a row (key, span, owners, repos), with how many own the value."""
     each = found.select("key", "owner", "repo", F.explode(F.concat("base", "opaque")).alias("span"))
-    each = materialize(each.select("key", "owner", "repo", "span", F.sha2("span.value", 256).alias("value_hash")).distinct(), "candidates")
+    each = each.select("key", "owner", "repo", "span", F.sha2("span.value", 256).alias("value_hash"))
     held = each.select("value_hash", "owner", "repo").distinct().groupBy("value_hash").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repos"))
     return each.join(held, "value_hash").select("key", "span", "owners", "repos").distinct()
 
@@ -111,7 +111,6 @@ def redacted(docs: DataFrame) -> DataFrame:
     found = materialize(candidates(docs), "secrets")
     shown = classified(found).where((F.col("span.kind") != "opaque") | (F.col("owners") < COPIED_OWNERS))
     marks = shown.groupBy("key").agg(F.array_sort(F.collect_set(F.struct(F.col("span.at").alias("at"), F.col("span.end").alias("end"), (F.col("owners") < COPIED_OWNERS).alias("own")))).alias("marks"))
-    marks = materialize(marks, "marks")
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"), F.xxhash64(F.lit(7), F.col("text")).cast("string"))
     keyed = docs.withColumn("__key", key).join(marks.withColumnRenamed("key", "__key"), "__key", "left")
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))

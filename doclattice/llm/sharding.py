@@ -56,7 +56,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     total = rows.agg(F.sum("size")).first()[0] or 0
     # At most LARGE groups reach this share, so the table is small enough to broadcast.
     large = groups.where(F.col("bytes") * LARGE >= total).select("same").withColumn("large", F.lit(True))
-    large = F.broadcast(materialize(large, "large"))
+    large = F.broadcast(materialize(large, "large", small=True))
     bundle = F.pmod(F.xxhash64("same"), F.lit(BUNDLES)).cast("int")
     parted = (
         rows.join(large, "same", "left")
