@@ -24,8 +24,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Words of a window.
 WINDOW = 13
@@ -172,48 +174,64 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
     yield rows
 
 
-STATE = "n_words long, ranges array<struct<lo:int,hi:int>>, items array<string>"
+#: What one block's pass hands to the next, beside the rows' own columns.
+STATE = "__n_words long, __ranges array<struct<lo:int,hi:int>>, __items array<string>"
+REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def _pass(shared, last: bool, first: bool, k: int):
+def is_contaminated(hit: int, words: int) -> bool:
+    return hit > 0 and 20 * hit >= words
+
+
+def _pass(shared, own: list[str], first: bool, last: bool, report: bool, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found_by = Benchmark.of(shared.value, k)
+        machine = Benchmark.of(shared.value, k)
         for batch in batches:
             words = [normal_words(t) for t in batch.column("text").to_pylist()]
-            found = found_by.find([b" " + b" ".join(w) + b" " if w else b"" for w in words]) if found_by.machines else [([], set())] * len(words)
+            found = machine.find([b" " + b" ".join(w) + b" " if w else b"" for w in words]) if machine.machines else [([], set())] * len(words)
             if not first:
-                known = zip(batch.column("ranges").to_pylist(), batch.column("items").to_pylist(), strict=True)
+                known = zip(batch.column("__ranges").to_pylist(), batch.column("__items").to_pylist(), strict=True)
                 found = [(r + [(x["lo"], x["hi"]) for x in old], items | set(more)) for (r, items), (old, more) in zip(found, known, strict=True)]
             found = [(merge_ranges(r), sorted(items)) for r, items in found]
             n = [len(w) for w in words]
-            if last:
-                hit = [sum(hi - lo for lo, hi in r) for r, _ in found]
+            hit = [sum(hi - lo for lo, hi in r) for r, _ in found]
+            bad = pa.array([is_contaminated(h, w) for h, w in zip(hit, n, strict=True)], pa.bool_())
+            if not last:
+                ranges = pa.array([[{"lo": lo, "hi": hi} for lo, hi in r] for r, _ in found], pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))
+                state = [pa.array(n, pa.int64()), ranges, pa.array([i for _, i in found], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *state], [*own, "__n_words", "__ranges", "__items"])
+            elif report:
+                digest = [hashlib.sha256(",".join(i).encode()).hexdigest() for _, i in found]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(i) for _, i in found], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for _, i in found]), pa.array([h > 0 and 20 * h >= w for h, w in zip(hit, n, strict=True)], pa.bool_()),
-                    ],
+                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(i) for _, i in found], pa.int64()), pa.array(digest, pa.string()), bad],
                     ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-                )
+                )
             else:
-                ranges = pa.array([[{"lo": lo, "hi": hi} for lo, hi in r] for r, _ in found], pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(n, pa.int64()), ranges, pa.array([i for _, i in found], pa.list_(pa.string()))], ["doc_id", "text", "n_words", "ranges", "items"])
+                yield batch.select(own).filter(pa.compute.invert(bad))
 
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of docs."""
-    spark = docs.sparkSession
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = benchmark_blocks(benchmark.select(F.col("item_id").alias("item_id"), "text"), block_bytes)
+def _passes(rows: DataFrame, benchmark: DataFrame, report: bool, k: int, block_bytes: int) -> DataFrame:
+    spark, schema = rows.sparkSession, rows.schema
+    between, end = StructType([*schema, *_parse_datatype_string(STATE)]), REPORT if report else schema
+    blocks = benchmark_blocks(benchmark.select("item_id", "text"), block_bytes)
     block, first = next(blocks), True
     while block is not None:
         after = next(blocks, None)
-        result = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" if after is None else f"doc_id long, text string, {STATE}"
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(block), after is None, first, k), result)
+        rows = rows.mapInArrow(_pass(spark.sparkContext.broadcast(block), schema.names, first, after is None, report, k), end if after is None else between)
         block, first = after, False
-    return out
+    return rows
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of docs."""
+    return _passes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, True, k, block_bytes)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the contaminated ones, all columns kept."""
+    return _passes(docs, benchmark, False, k, block_bytes)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

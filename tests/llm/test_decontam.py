@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from doclattice.llm.decontam import contamination
+from doclattice.llm.decontam import clean_documents, contamination
 
 ITEMS = [
     (1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"),
@@ -58,6 +58,14 @@ def test_small_cases(spark, block_bytes):
     assert got == brute([d[:2] for d in DOCS], ITEMS)
 
 
+@pytest.mark.parametrize("block_bytes", [8 << 20, 200])
+def test_clean_documents(spark, block_bytes):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, items string")
+    clean = clean_documents(docs, spark.createDataFrame(ITEMS, "item_id long, text string"), block_bytes=block_bytes)
+    want = [r[0] for r in brute([d[:2] for d in DOCS], ITEMS) if not r[5]]
+    assert clean.columns == docs.columns and sorted((r.doc_id for r in clean.collect()), key=str) == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string, lang string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
