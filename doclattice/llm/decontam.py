@@ -63,36 +63,33 @@ class WuManber:
     shift: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
     buckets: dict[int, list[tuple[bytes, int]]] = field(default_factory=dict)
 
-    BITS = 18
+    BITS = 20
 
     def __post_init__(self) -> None:
         self.m = min(map(len, self.patterns))
-        self.width = min(4, self.m)
+        self.width = min(8, self.m)
         self.shift = np.full(1 << self.BITS, self.m - self.width + 1, np.int32)
-        heads = np.frombuffer(b"".join(p[: self.m] for p in self.patterns), np.uint8).reshape(len(self.patterns), self.m)
+        heads = np.frombuffer(b"".join(p[: self.m] + bytes(8) for p in self.patterns), np.uint8).reshape(len(self.patterns), self.m + 8)
         for end in range(self.width, self.m + 1):
-            np.minimum.at(self.shift, self._block(heads, np.full(len(heads), end)), self.m - end)
-        for number, (p, key) in enumerate(zip(self.patterns, self._block(heads, np.full(len(heads), self.m)).tolist(), strict=True)):
+            keys = self._key(np.ascontiguousarray(heads[:, end - self.width : end - self.width + 8]).view("<u8")[:, 0])
+            np.minimum.at(self.shift, keys, self.m - end)
+        for number, (p, key) in enumerate(zip(self.patterns, keys.tolist(), strict=True)):
             self.buckets.setdefault(key, []).append((p, number))
 
-    def _block(self, rows: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the width bytes before end, in each row, or in one row at many ends."""
-        value = np.zeros(len(end), np.uint32)
-        for j in range(self.width):
-            byte = rows[np.arange(len(end)), end - self.width + j] if rows.ndim == 2 else rows[end - self.width + j]
-            value = value << np.uint32(8) | byte
-        return (value * np.uint32(2654435761)) >> np.uint32(32 - self.BITS)
+    def _key(self, blocks: np.ndarray) -> np.ndarray:
+        """Table places of blocks, given as eight bytes of which the first width count."""
+        return ((blocks & np.uint64((1 << 8 * self.width) - 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
     def search(self, text: bytes) -> Iterator[tuple[int, int]]:
         """(start, pattern number) of every occurrence."""
         n = len(text)
         if n < self.m:
             return
-        data = np.frombuffer(text, np.uint8)
+        blocks = np.ndarray((n + 1,), "<u8", text + bytes(8), strides=(1,))
         at = np.arange(self.m, n + 1, LANE)
         stop = np.minimum(at + LANE, n + 1)
         while len(at):
-            key = self._block(data, at)
+            key = self._key(blocks[at - self.width])
             step = self.shift[key]
             for end, k in zip(at[step == 0].tolist(), key[step == 0].tolist(), strict=True):
                 start = end - self.m
