@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the cleaner follows up what the first round has found
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
 
-def materialize(df: DataFrame, name: str, small: bool = False, release: bool = True) -> DataFrame:
+def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write df once under the shared folder and read it back: lineage ends there, so a lost executor
     costs a re-read and not a recomputation. The files go when the driver's JVM ends. small: a table that is
     slight beside the input; it goes to an eighth of the usual number of files."""
@@ -39,7 +42,7 @@ def materialize(df: DataFrame, name: str, small: bool = False, release: bool = T
     df.write.parquet(where)
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    if release:
+    if not small:
         release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(where)
 
