@@ -16,9 +16,9 @@ def signature(annotations: Column) -> Column:
 def compare_units(left: DataFrame, right: DataFrame, key: list[str], value: str = "signature") -> DataFrame:
     """Per key: on which sides it is and whether values agree. Null keys (plain blocks have no row) match each other."""
     one = left.select(*key, F.col(value).alias("__l"), F.lit(True).alias("__in_l"))
-    two = right.select(*[F.col(k).alias(f"__{k}") for k in key], F.col(value).alias("__r"), F.lit(True).alias("__in_r"))
-    both = one.join(two, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key], "full_outer")
-    shown = [F.when(F.col("__in_l").isNotNull(), F.col(k)).otherwise(F.col(f"__{k}")).alias(k) for k in key]
+    two = right.select(*[F.col(k).alias(f"__key_{k}") for k in key], F.col(value).alias("__r"), F.lit(True).alias("__in_r"))
+    both = one.join(two, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in key], "full_outer")
+    shown = [F.when(F.col("__in_l").isNotNull(), F.col(k)).otherwise(F.col(f"__key_{k}")).alias(k) for k in key]
     on = lambda side: F.coalesce(side, F.lit(False))
     return both.select(*shown, on("__in_l").alias("in_left"), on("__in_r").alias("in_right"), (on("__in_l") & on("__in_r") & F.col("__l").eqNullSafe(F.col("__r"))).alias("matched"))
 
