@@ -35,7 +35,7 @@ from doclattice.session import materialize
 
 CAPACITY = 2048
 CLOSING_ID = 0
-SLICES = 256
+SLICES = 64
 VOCABULARY = "byte_bpe_50k"
 
 
