@@ -55,5 +55,12 @@ def drop_materialized(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Whole texts go to Python in batches of at most this many rows; a smaller number that the session has stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
