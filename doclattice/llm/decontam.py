@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from doclattice.session import short_batches
+
 #: Words of a window.
 WINDOW = 13
 #: Bytes of benchmark text that a broadcast block holds; one larger item makes a block of its own.
@@ -211,6 +213,7 @@ def _pass(shared, own: list[str], first: bool, last: bool, report: bool, k: int)
 
 def _passes(rows: DataFrame, benchmark: DataFrame, report: bool, k: int, block_bytes: int) -> DataFrame:
     spark, schema = rows.sparkSession, rows.schema
+    short_batches(spark)
     between, end = StructType([*schema, *_parse_datatype_string(STATE)]), REPORT if report else schema
     blocks = benchmark_blocks(benchmark.select("item_id", "text"), block_bytes)
     block, first = next(blocks), True

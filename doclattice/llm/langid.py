@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclattice.session import materialize
+from doclattice.session import materialize, short_batches
 
 #: Hash buckets of byte triples, temper of the text's likelihood, pseudo-counts of a level's parent, and of a table's cell.
 BUCKETS, TEMPER, KAPPA, ALPHA = 1 << 16, 0.1, 5.0, 1.0
@@ -122,6 +122,7 @@ def _given_language(counts: str, totals: Column, values: Column) -> Column:
 
 
 def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    short_batches(docs.sparkSession)
     spark = docs.sparkSession
     languages, model = text_model(docs.select("text", "lang"))
     shared, n = spark.sparkContext.broadcast(model), len(languages)

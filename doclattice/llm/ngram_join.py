@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from doclattice.llm.components import connected_components
 from doclattice.llm.heavy import heavy_hitters
 from doclattice.llm.textkit import U64, Alphabet, Words, mix, words
-from doclattice.session import materialize
+from doclattice.session import materialize, short_batches
 
 WORDS = Alphabet(lower=True)
 TOP = U64(1 << 63)
@@ -154,6 +154,7 @@ def _could_link(limit: Threshold, n1: str, p1: str, n2: str, p2: str) -> Column:
 
 def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
+    short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def occurrences(column: pa.Array) -> Iterator[np.ndarray]:

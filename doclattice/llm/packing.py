@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from doclattice.session import materialize
+from doclattice.session import materialize, short_batches
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -169,6 +169,7 @@ OUT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     spark = docs.sparkSession
+    short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = materialize(docs.mapInArrow(_pieces(capacity, name), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
     sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SLICES)).cast("int"))

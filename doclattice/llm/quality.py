@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclattice.llm.textkit import U64, Alphabet, _buffers, mix, words
+from doclattice.session import short_batches
 
 #: Labelled rows used at most.
 MAX_LABELS = 100_000
@@ -163,6 +164,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELS) -> Model:
+    short_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = sample_labels(labels, most)
     counted = docs.mapInArrow(_count(sample), "feature long, raw long, target long").groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()

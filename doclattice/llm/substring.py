@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from doclattice.llm.heavy import heavy_hitters
 from doclattice.llm.textkit import U64, Alphabet, Words, mix, powers, words
-from doclattice.session import materialize, parallelism
+from doclattice.session import materialize, parallelism, short_batches
 
 WINDOW = 13
 #: Words of the sub-runs whose smallest hash deals out a window.
@@ -306,6 +306,7 @@ def _attempt(docs: DataFrame, k: int, seed: int) -> DataFrame | None:
 
 def substring_dedup(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of docs."""
+    short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     for seed in range(4):
         found = _attempt(docs, k, seed)

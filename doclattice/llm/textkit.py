@@ -49,7 +49,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64 for i < n, kept and grown as needed."""
     up, down = _POWERS.get(base, (None, None))
     if up is None or len(up) < n:
-        size = max(n, CHUNK_BYTES + 16)
+        size = 1 << n.bit_length()
         inverse = pow(base, -1, 1 << 64)
         up, down = np.full(size, base, U64), np.full(size, inverse, U64)
         up[0] = down[0] = 1
