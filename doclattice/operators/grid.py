@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doclattice.functions.text import bound
+
 
 def pipe_cells(lines: DataFrame, key: list[str]) -> DataFrame:
     """Cells of lines that have pipes: (key, col, cell), trimmed."""
@@ -14,24 +16,23 @@ def pipe_cells(lines: DataFrame, key: list[str]) -> DataFrame:
 
 def padded(rows: Column) -> Column:
     """Ragged rows with empty cells at their ends."""
-    width = F.array_max(F.transform(rows, lambda r: F.size(r)))
-    return F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
+    return bound(F.array_max(F.transform(rows, lambda r: F.size(r))), lambda width: F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r)))))
+
+
+def _full(cell: Column) -> Column:
+    return F.coalesce(cell, F.lit("")) != ""
 
 
 def prune(rows: Column) -> Column:
     """Without rows and columns that are empty all through."""
-    full = padded(rows)
-    kept = F.filter(full, lambda r: F.exists(r, lambda c: F.coalesce(c, F.lit("")) != ""))
-    last = F.greatest(F.size(F.element_at(full, 1)), F.lit(1))
-    columns = F.filter(F.sequence(F.lit(1), last), lambda j: F.exists(full, lambda r: F.coalesce(F.get(r, j - 1), F.lit("")) != ""))
-    return F.transform(kept, lambda r: F.transform(columns, lambda j: F.get(r, j - 1)))
+    columns = lambda full: F.filter(F.sequence(F.lit(1), F.greatest(F.size(F.get(full, F.lit(0))), F.lit(1))), lambda j: F.exists(full, lambda r: _full(F.get(r, j - 1))))
+    kept = lambda full, cols: F.transform(F.filter(full, lambda r: F.exists(r, _full)), lambda r: F.transform(cols, lambda j: F.get(r, j - 1)))
+    return bound(padded(rows), lambda full: bound(columns(full), lambda cols: kept(full, cols)))
 
 
 def is_ghost(rows: Column) -> Column:
     """Over three quarters empty and over eight columns wide."""
-    cells = F.flatten(padded(rows))
-    empty = F.size(F.filter(cells, lambda c: F.coalesce(c, F.lit("")) == ""))
-    return (empty > 0.75 * F.size(cells)) & (F.array_max(F.transform(rows, lambda r: F.size(r))) > 8)
+    return bound(padded(rows), lambda full: (F.size(F.filter(F.flatten(full), lambda c: ~_full(c))) > 0.75 * F.size(F.flatten(full))) & (F.size(F.get(full, F.lit(0))) > 8))
 
 
 def slots(cells: DataFrame, key: list[str]) -> DataFrame:
