@@ -85,3 +85,67 @@ def mixed_values(rows: DataFrame, key: list[str], value: str, rule: str) -> Data
     """FMT-09, CON-04: more than one value where one is expected."""
     many = rows.groupBy(*key).agg(F.countDistinct(value).alias("n")).where("n > 1")
     return hit(many, rule, key, F.col("n"))
+
+
+def period_hits(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """FMT-02: a period between two dates not written with a tight tilde."""
+    loose = F.regexp_extract_all(text, F.lit(r"\d{1,2}\.?(?:\s+[~∼〜-]\s*|\s*[∼〜-]\s*|\s*~\s+)\d{4}\."), F.lit(0))
+    return hit(rows.select(*key, F.explode(loose).alias("period")), "FMT-02", key, F.col("period"))
+
+
+def clock_hits(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """FMT-03: a time of day not on the 24-hour clock with a colon."""
+    times = F.regexp_extract_all(text, F.lit(r"(?:오전|오후)\s*\d{1,2}(?::\d{2}|시)|\d{1,2}시\s*\d{1,2}분"), F.lit(0))
+    return hit(rows.select(*key, F.explode(times).alias("time")), "FMT-03", key, F.col("time"))
+
+
+# Weekdays as written after a date, Monday first.
+WEEKDAYS = "월화수목금토일"
+
+
+def weekday_hits(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """FMT-08: a date whose weekday in brackets is another."""
+    written = F.regexp_extract_all(text, F.lit(r"\d{4}\.\s?\d{1,2}\.\s?\d{1,2}\.\s?\([" + WEEKDAYS + r"]\)"), F.lit(0))
+    found = rows.select(*key, F.explode(written).alias("d"))
+    day = F.try_to_timestamp(F.regexp_replace(F.regexp_extract("d", r"^(\d{4}\.\s?\d{1,2}\.\s?\d{1,2})", 1), r"\.\s?", "-"), F.lit("yyyy-M-d"))
+    real = F.substring(F.lit(WEEKDAYS), F.weekday(day) + 1, F.lit(1))
+    return hit(found.where(day.isNotNull() & (real != F.regexp_extract("d", r"\((.)\)$", 1))), "FMT-08", key, F.col("d"))
+
+
+def long_titles(titles: DataFrame, key: list[str], most: int = TITLE) -> DataFrame:
+    """STR-06."""
+    return hit(titles.where(F.length("title") > most), "STR-06", key, F.length("title"))
+
+
+def long_overviews(blocks: DataFrame, key: list[str], most: int = OVERVIEW_ITEMS) -> DataFrame:
+    """STR-07: an overview section of more than five items or lines."""
+    sums = blocks.where("tag = 'SEC_OVERVIEW'").groupBy(*key, "section").agg(F.count("*").alias("items"), F.sum("line_count").alias("lines"))
+    return hit(sums.where((F.col("items") > most) | (F.col("lines") > most)), "STR-07", [*key, "section"], F.concat_ws("/", F.col("items").cast("string"), F.col("lines").cast("string")))
+
+
+def long_bodies(blocks: DataFrame, key: list[str], most: int = BODY_PAGES) -> DataFrame:
+    """STR-08: a body of more than two pages and no annex."""
+    pages = blocks.groupBy(*key).agg(F.countDistinct(F.when(F.col("tag") != "SEC_ANNEX", F.col("page"))).alias("pages"), F.bool_or(F.col("tag") == "SEC_ANNEX").alias("annex"))
+    return hit(pages.where((F.col("pages") > most) & ~F.col("annex")), "STR-08", key, F.col("pages"))
+
+
+def count_mismatches(stated: DataFrame, children: DataFrame, key: list[str]) -> DataFrame:
+    """CON-02: a stated number of items against the children listed; blocks that state none are left out."""
+    number = F.try_to_number(F.regexp_extract("text", r"(\d{1,3})\s*(?:개|건|종|명)", 1), F.lit("999")).cast("long")
+    said = stated.withColumn("said", number).where("said is not null")
+    n = children.groupBy(*key).agg(F.count("*").alias("n"))
+    return hit(said.join(n, key).where("said <> n"), "CON-02", key, F.concat_ws("<>", F.col("said").cast("string"), F.col("n").cast("string")))
+
+
+def vague_words(rows: DataFrame, lexicon: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """EXP-01: a vague word in a text without a number. Words of a text meet the lexicon in an equi-join."""
+    words = rows.where(~F.rlike(text, F.lit(r"\d"))).select(*key, F.explode(F.array_distinct(F.split(text, r"(?U)[\s,.]+"))).alias("word"))
+    return hit(words.join(lexicon.select("word").distinct(), "word"), "EXP-01", key, F.col("word"))
+
+
+def bare_tables(blocks: DataFrame, key: list[str], order: str) -> DataFrame:
+    """EXP-05: a table with prose neither before nor after it."""
+    w = Window.partitionBy(*key).orderBy(order)
+    prose = lambda c: F.coalesce(c.isin("para", "item"), F.lit(False))
+    beside = blocks.withColumn("ok", prose(F.lag("kind").over(w)) | prose(F.lead("kind").over(w)))
+    return hit(beside.where((F.col("kind") == "table") & ~F.col("ok")), "EXP-05", [*key, order], F.lit("no prose"))

@@ -94,3 +94,67 @@ def quality_grade(warnings: DataFrame, documents: DataFrame, key: str) -> DataFr
     """COMPLETE unless a document has a warning that is more than informational."""
     partial = warnings.groupBy(key).agg(F.bool_or(~F.col("code").isin(*INFORMATIONAL)).alias("partial"))
     return documents.select(key).distinct().join(partial, key, "left").select(key, F.when(F.coalesce("partial", F.lit(False)), "PARTIAL").otherwise("COMPLETE").alias("quality"))
+
+
+# Domains of a document's own labels.
+DOCUMENT_VERSION = "1.2.0"
+
+
+def response_gate(responses: DataFrame, version: str = DOCUMENT_VERSION) -> DataFrame:
+    """V00 for what isn't JSON, V01 for another version or request. responses: request_id, response (string)."""
+    key = ["request_id"]
+    parsed = responses.withColumn("v", F.try_parse_json("response"))
+    get = lambda name: F.try_variant_get(F.col("v"), f"$.{name}", "string")
+    known = parsed.where("v is not null")
+    return union([
+        issues("V00", parsed.where("v is null"), F.lit("$"), "not JSON", key),
+        issues("V01", known.where(~get("schema_version").eqNullSafe(F.lit(version))), F.lit("schema_version"), "version", key),
+        issues("V01", known.where(get("schema_version").eqNullSafe(F.lit(version)) & ~get("request_id").eqNullSafe(F.col("request_id"))), F.lit("request_id"), "another request", key),
+    ])
+
+
+def cell_issues(spans: DataFrame, cells: DataFrame, headers: DataFrame, key: list[str]) -> DataFrame:
+    """V10: a span's cell is out of range, inherited, or neither of its row nor of a header row.
+
+    spans: key, unit_row, row, col. cells: key, row, col, from_row (null unless inherited). headers: key, row.
+    """
+    at = F.concat_ws(",", F.col("row").cast("string"), F.col("col").cast("string"))
+    there = spans.join(cells.select(*key, "row", "col", "from_row", F.lit(True).alias("there")), [*key, "row", "col"], "left")
+    head = headers.select(*key, "row", F.lit(True).alias("head"))
+    judged = there.join(head, [*key, "row"], "left")
+    return union([
+        issues("V10", judged.where("there is null"), at, "cell out of range", key),
+        issues("V10", judged.where("from_row is not null"), at, "cell inherited", key),
+        issues("V10", judged.where((F.col("row") != F.col("unit_row")) & F.col("head").isNull() & F.col("there").isNotNull()), at, "cell of another row", key),
+    ])
+
+
+def table_issues(rows: DataFrame, tables: DataFrame, key: list[str]) -> DataFrame:
+    """V11: every row exactly once, known roles, body rows labelled. rows: key, row, role, n_annotations; tables: key, n_rows."""
+    listed = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.col("row").cast("int"))).alias("listed"))
+    wanted = F.when(F.col("n_rows") > 0, F.sequence(F.lit(0), F.col("n_rows").cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    compared = tables.join(listed, key, "left")
+    return union([
+        issues("V11", compared.where(~F.col("listed").eqNullSafe(wanted)), F.lit("rows"), "rows", key),
+        issues("V11", rows.where(~F.coalesce(F.col("role").isin(*ROW_ROLES), F.lit(False))), F.col("row").cast("string"), "role", key),
+        issues("V11", rows.where((F.col("role") == "body") & (F.col("n_annotations") == 0)), F.col("row").cast("string"), "body row without annotation", key),
+    ])
+
+
+def context_issues(contexts: DataFrame, blocks: DataFrame, key: list[str]) -> DataFrame:
+    """V13: context ids that the document doesn't have. contexts: key, document_id, context_id; blocks: document_id, block_id."""
+    known = blocks.select("document_id", F.col("block_id").alias("context_id")).distinct()
+    return issues("V13", contexts.join(known, ["document_id", "context_id"], "left_anti"), F.col("context_id"), "context", key)
+
+
+def document_issues(labels: DataFrame, texts: DataFrame, types: tuple[str, ...], topics: tuple[str, ...]) -> DataFrame:
+    """D01: type, topics, reason and evidence. labels: document_id, type, topics, outline_reason, block_id, quote, occurrence."""
+    key = ["document_id"]
+    right = texts.select("document_id", "block_id", F.col("text").alias("t_text"))
+    spans = labels.join(right, ["document_id", "block_id"], "left").withColumn("found", locate(F.coalesce("t_text", F.lit("")), F.col("quote"), F.col("occurrence")))
+    return union([
+        issues("D01", labels.where(~F.coalesce(F.col("type").isin(*types), F.lit(False))), F.lit("type"), "type", key),
+        issues("D01", labels.where(F.size(F.array_except("topics", F.array(*[F.lit(t) for t in topics]))) > 0), F.lit("topics"), "topics", key),
+        issues("D01", labels.where(F.trim(F.coalesce("outline_reason", F.lit(""))) == ""), F.lit("outline_reason"), "reason", key),
+        issues("D01", spans.where("t_text is null or found.reason is not null"), F.lit("evidence"), "evidence", key),
+    ])

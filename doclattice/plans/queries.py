@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doclattice.functions import text as T
-from doclattice.operators import agreement, grid, labeling, layout, rules, targets, tree, validate
+from doclattice.operators import agreement, drawings, grid, labeling, layout, requests, rules, targets, tree, validate
 from doclattice.operators import lines as L
 from doclattice.sources.readers import boxed, leveled, lines, table
 
@@ -536,3 +536,50 @@ def rule_missing_sections(s: SparkSession, d: str) -> DataFrame:
     required = s.createDataFrame([("plan", "what", "SEC_OVERVIEW"), ("plan", "how", "SEC_PLAN"), ("plan", "how", "SEC_STATUS"), ("report", "end", "SEC_RESULT"), ("report", "end", "SEC_EFFECT")], "outline_id string, slot string, tag string")
     documents = docs(s, d).select("doc_id", F.when(F.col("doc_id") % 3 == 0, "plan").when(F.col("doc_id") % 3 == 1, "report").alias("outline_id"))
     return rules.missing_sections(documents, tags, required, "doc_id")
+
+
+@query("block_requests")
+def block_requests(s: SparkSession, d: str) -> DataFrame:
+    blocks = turns(s, d).select(F.col("conv_id").cast("string").alias("document_id"), F.concat(F.lit("b"), F.col("turn").cast("string")).alias("block_id"), F.col("turn").alias("seq"), F.col("section").alias("section_id"), "text", "units", F.when(F.col("role") == "system", "context").otherwise("target").alias("class"))
+    out = requests.block_requests(blocks, full=3000)
+    return out.select("document_id", "chunk", F.size("targets").alias("n_targets"), "context_kind", F.length("context").alias("context_chars"), "request_id")
+
+
+def cell_boxes(s: SparkSession, d: str) -> DataFrame:
+    cells = grid.pipe_cells(doc_lines(s, d), ["doc_id", "line_no"])
+    x0 = F.col("col") * 30.0 + (F.col("doc_id") + F.col("col")) % 3 * 0.75
+    return cells.select("doc_id", (F.col("line_no") * 1000 + F.col("col")).alias("cell"), x0.alias("x0"), (F.col("line_no") * 12.0).alias("y0"), (x0 + 29.0).alias("x1"), (F.col("line_no") * 12.0 + 11).alias("y1"))
+
+
+@query("neighbour_cells", f"WITH {PIPES}, b AS (SELECT doc_id, line_no * 1000 + col AS cell, col * 30.0::DOUBLE + (doc_id + col) % 3 * 0.75::DOUBLE AS x0, line_no * 12.0::DOUBLE AS y0, line_no * 12.0::DOUBLE + 11 AS y1 FROM cells), x AS (SELECT *, x0 + 29.0 AS x1 FROM b) SELECT l.doc_id, l.cell, r.cell AS neighbour FROM x l JOIN x r ON l.doc_id = r.doc_id AND l.cell <> r.cell AND l.y0 = r.y0 AND abs(l.x1 - r.x0) <= 1.0")
+def neighbour_cells(s: SparkSession, d: str) -> DataFrame:
+    return drawings.neighbours(cell_boxes(s, d), ["doc_id"])
+
+
+@query("rule_bare_tables", f"WITH {LINES}, k AS (SELECT doc_id, line_no, CASE WHEN (doc_id + line_no) % 3 = 0 THEN 'table' WHEN (doc_id * 5 + line_no) % 4 < 2 THEN 'para' ELSE 'figure' END AS kind FROM lines), n AS (SELECT *, lag(kind) OVER w AS b, lead(kind) OVER w AS a FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)) SELECT doc_id, line_no, 'EXP-05' AS rule, 'advisory' AS severity, 'no prose' AS detail FROM n WHERE kind = 'table' AND coalesce(b, '') <> 'para' AND coalesce(a, '') <> 'para'")
+def rule_bare_tables(s: SparkSession, d: str) -> DataFrame:
+    i, n = F.col("doc_id"), F.col("line_no")
+    kind = F.when((i + n) % 3 == 0, "table").when((i * 5 + n) % 4 < 2, "para").otherwise("figure")
+    return rules.bare_tables(doc_lines(s, d).select("doc_id", "line_no", kind.alias("kind")), ["doc_id"], "line_no")
+
+
+@query("rule_vague_words", f"WITH {LINES}, w AS (SELECT DISTINCT doc_id, line_no, unnest(string_split_regex(text, '[\\s,.]+')) AS word FROM lines WHERE NOT regexp_matches(text, '[0-9]')) SELECT doc_id, line_no, 'EXP-01' AS rule, 'advisory' AS severity, word AS detail FROM w WHERE word IN ('that', 'dass', 'pour', 'los')")
+def rule_vague_words(s: SparkSession, d: str) -> DataFrame:
+    return rules.vague_words(doc_lines(s, d), s.createDataFrame([("that",), ("dass",), ("pour",), ("los",)], "word string"), ["doc_id", "line_no"])
+
+
+@query("rule_long_bodies", f"WITH {BOXED}, p AS (SELECT doc_id, count(DISTINCT page) FILTER (line_no % 90 <> 89) AS pages, bool_or(line_no % 90 = 89) AS annex FROM boxed GROUP BY doc_id) SELECT doc_id, 'STR-08' AS rule, 'advisory' AS severity, pages::VARCHAR AS detail FROM p WHERE pages > 1 AND NOT annex")
+def rule_long_bodies(s: SparkSession, d: str) -> DataFrame:
+    rows = boxed(doc_lines(s, d)).withColumn("tag", F.when(F.col("line_no") % 90 == 89, "SEC_ANNEX").otherwise("SEC_CONTENT"))
+    return rules.long_bodies(rows, ["doc_id"], 1)
+
+
+@query("horizontal_rules", f"WITH {LINES} SELECT doc_id, count(*) AS n_rules, round(sum(len), 3) AS total FROM (SELECT doc_id, line_no, least(greatest(length(text), 20), 60)::DOUBLE AS len FROM lines) WHERE len > 40 GROUP BY doc_id")
+def horizontal_rules(s: SparkSession, d: str) -> DataFrame:
+    """Each line of text is underlined by two segments that meet; short ones go."""
+    n = F.least(F.greatest(F.length("text"), F.lit(20)), F.lit(60)).cast("double")
+    rows = doc_lines(s, d).withColumn("n", n).withColumn("y", F.col("line_no") * 5.0)
+    first = rows.select("doc_id", "y", F.lit(0.0).alias("x0"), F.lit(15.0).alias("x1"))
+    second = rows.select("doc_id", "y", F.lit(14.0).alias("x0"), F.col("n").alias("x1"))
+    found = drawings.horizontal_rules(first.unionByName(second), ["doc_id"])
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_rules"), F.round(F.sum(F.col("x1") - F.col("x0")), 3).alias("total"))
