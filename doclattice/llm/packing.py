@@ -12,7 +12,8 @@ driver solves the packing on a histogram of at most `capacity` counts, whatever
 
 Sequences of equal make are a range of numbers, so the plan is a table of (length, first rank, ranks, first
 sequence, offset). Ranks of pieces within their length come from slices of it (the length and a hash
-of the document), so the pieces of a frequent length are numbered by many tasks.
+of the document), one for each SLICE_ROWS pieces, so a frequent length is numbered by as many tasks as its count
+asks for, and what is broadcast is a row for each slice: capacity + pieces / SLICE_ROWS of them at most.
 
 Result: one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null text is
 empty: one piece of the closing id. Repeated rows and null ids are packed as they come. Extra columns are
@@ -35,7 +36,8 @@ from doclattice.session import materialize, short_batches
 
 CAPACITY = 2048
 CLOSING_ID = 0
-SLICES = 64
+#: Pieces of one length that a task numbers on average.
+SLICE_ROWS = 1_000_000
 VOCABULARY = "byte_bpe_50k"
 
 
@@ -167,18 +169,19 @@ def _assign(table: np.ndarray):
 OUT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
     spark = docs.sparkSession
     short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     pieces = materialize(docs.mapInArrow(_pieces(capacity, name), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
-    sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SLICES)).cast("int"))
-    # capacity * SLICES counts at most.
+    # capacity counts at most.
+    histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    made = np.array(sorted(plan(histogram, capacity)), np.int64).reshape(-1, 5)
+    slices = spark.createDataFrame([(length, -(-n // slice_rows)) for length, n in histogram.items()], "length long, slices long")
+    sliced = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("slices")))
     counts = sliced.groupBy("length", "slice").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "slice"])
     counts["before"] = counts.groupby("length")["n"].cumsum() - counts["n"]
-    table = plan({int(s): int(n) for s, n in counts.groupby("length")["n"].sum().items()}, capacity)
-    made = np.array(sorted(table), np.int64).reshape(len(table), 5)
-    before = spark.createDataFrame([(int(r.length), int(r.slice), int(r.before)) for r in counts.itertuples()], "length long, slice int, before long")
+    before = spark.createDataFrame([(int(r.length), int(r.slice), int(r.before)) for r in counts.itertuples()], "length long, slice long, before long")
     within = Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "ids_crc32")
     ranked = sliced.withColumn("rank", F.row_number().over(within)).join(F.broadcast(before), ["length", "slice"]).withColumn("rank", F.col("before") + F.col("rank") - 1)
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_assign(made), OUT)

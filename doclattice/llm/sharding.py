@@ -5,8 +5,9 @@ are LARGE at most); smaller groups are gathered by the hash of their text into B
 sorted by size, go one by one to the least-loaded shard through a heap. So the driver schedules at most
 LARGE + BUNDLES items at any size of the table, and a bundle is a small share of a shard.
 
-Slots are gapless ranks within a shard: each part (a bundle, or a slice of a large group) starts where the
-part before it ends, and rows are numbered within their part; no task sorts a whole shard.
+Slots are gapless ranks within a shard: each part of an item (a slice of its rows, one for each SLICE_ROWS of
+them) starts where the part before it ends, and rows are numbered within their part; no task sorts a whole shard
+or a whole hot group. What is broadcast is a row for each part: LARGE + BUNDLES + rows / SLICE_ROWS at most.
 
 Result: one row per row: doc_id, size, text_crc32, law ("bytes"), shard, slot, grown_shard (null: another
 shard count is another schedule). size is the text's UTF-8 bytes plus 16; a null text has none, its crc32
@@ -26,8 +27,8 @@ from doclattice.session import materialize
 SHARDS = 40
 LARGE = 4096
 BUNDLES = 1 << 13
-#: Parts that the rows of a large group are numbered in.
-SLICES = 64
+#: Rows of an item that a task numbers on average.
+SLICE_ROWS = 1_000_000
 OVERHEAD = 16
 
 
@@ -42,7 +43,7 @@ def lpt(sizes: list[tuple[int, object]], shards: int) -> dict[object, int]:
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
     spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(
@@ -58,20 +59,18 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     large = groups.where(F.col("bytes") * LARGE >= total).select("same").withColumn("large", F.lit(True))
     large = F.broadcast(materialize(large, "large", small=True))
     bundle = F.pmod(F.xxhash64("same"), F.lit(BUNDLES)).cast("int")
-    parted = (
-        rows.join(large, "same", "left")
-        .withColumn("item", F.when(F.col("large"), F.concat(F.lit("g"), F.hex("same"))).otherwise(F.concat(F.lit("b"), bundle)))
-        .withColumn("slice", F.when(F.col("large"), F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")).otherwise(0))
-        .select("doc_id", "size", "text_crc32", "item", "slice")
-    )
-    # LARGE * SLICES + BUNDLES rows at most.
-    parts = parted.groupBy("item", "slice").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).toPandas()
-    where = lpt([(int(b), k) for k, b in parts.groupby("item")["bytes"].sum().items()], shards)
+    named = rows.join(large, "same", "left").withColumn("item", F.when(F.col("large"), F.concat(F.lit("g"), F.hex("same"))).otherwise(F.concat(F.lit("b"), bundle)))
+    # LARGE + BUNDLES rows at most.
+    items = named.groupBy("item").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+    where = lpt([(int(r["bytes"]), r["item"]) for r in items], shards)
+    slices = spark.createDataFrame([(r["item"], -(-r["n"] // slice_rows)) for r in items], "item string, slices long")
+    parted = named.join(F.broadcast(slices), "item").select("doc_id", "size", "text_crc32", "item", F.pmod(F.xxhash64("doc_id"), F.col("slices")).alias("slice"))
+    parts = parted.groupBy("item", "slice").agg(F.count("*").alias("n")).toPandas()
     parts["shard"] = parts["item"].map(where).astype("int32")
     parts = parts.sort_values(["shard", "item", "slice"])
     parts["before"] = (parts.groupby("shard")["n"].cumsum() - parts["n"]).astype("int64")
     placed = [(r.item, int(r.slice), int(r.shard), int(r.before)) for r in parts.itertuples()]
-    table = spark.createDataFrame(placed, "item string, slice int, shard int, before long")
+    table = spark.createDataFrame(placed, "item string, slice long, shard int, before long")
     numbered = parted.withColumn("rank", F.row_number().over(Window.partitionBy("item", "slice").orderBy("doc_id", "text_crc32", "size")))
     return numbered.join(F.broadcast(table), ["item", "slice"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard")

@@ -72,6 +72,7 @@ def test_small_cases(spark):
     frame = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, piece int")
     check_rows(pack(frame, 16).collect(), docs, 16)
     check_rows(pack(frame).collect(), docs, 2048)
+    check_rows(pack(frame, 16, slice_rows=3).collect(), docs, 16)
     empty = pack(frame.limit(0))
     assert empty.collect() == [] and [f.name for f in empty.schema] == [c.split()[0] for c in OUT.split(", ")]
 

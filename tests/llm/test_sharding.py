@@ -23,6 +23,7 @@ def test_small_cases(spark):
     rows = shard_rows(frame, 4).collect()
     assert len(rows) == len(docs) + 1
     verify(rows, docs, 4)
+    verify(shard_rows(frame, 4, slice_rows=3).collect(), docs, 4)
     repeated = shard_rows(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "doc_id long, text string"), 2).collect()
     assert sorted((r.doc_id, r.slot) for r in repeated) == [(1, 0), (1, 1), (2, 0)]
     assert shard_rows(frame.limit(0), 4).collect() == []
