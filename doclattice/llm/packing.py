@@ -12,8 +12,9 @@ driver solves the packing on a histogram of at most `capacity` counts, whatever
 
 Sequences of equal make are a range of numbers, so the plan is a table of (length, first rank, ranks, first
 sequence, offset). Ranks of pieces within their length come from slices of it (the length and a hash
-of the document), one for each SLICE_ROWS pieces, so a frequent length is numbered by as many tasks as its count
-asks for, and what is broadcast is a row for each slice: capacity + pieces / SLICE_ROWS of them at most.
+of the document), one for each SLICE_ROWS pieces and for each 1/PARTS of all pieces, so a frequent length is numbered
+by as many tasks as its count asks for, and what is broadcast is a row for each slice: capacity + PARTS + pieces /
+SLICE_ROWS of them at most.
 
 Result: one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null text is
 empty: one piece of the closing id. Repeated rows and null ids are packed as they come. Extra columns are
@@ -38,6 +39,8 @@ CAPACITY = 2048
 CLOSING_ID = 0
 #: Pieces of one length that a task numbers on average.
 SLICE_ROWS = 1_000_000
+#: A slice is at most this part of all pieces, on average.
+PARTS = 1024
 VOCABULARY = "byte_bpe_50k"
 
 
@@ -177,7 +180,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, id_c
     # capacity counts at most.
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     made = np.array(sorted(plan(histogram, capacity)), np.int64).reshape(-1, 5)
-    slices = spark.createDataFrame([(length, -(-n // slice_rows)) for length, n in histogram.items()], "length long, slices long")
+    each = max(1, min(slice_rows, sum(histogram.values()) // PARTS))
+    slices = spark.createDataFrame([(length, -(-n // each)) for length, n in histogram.items()], "length long, slices long")
     sliced = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("slices")))
     counts = sliced.groupBy("length", "slice").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "slice"])
     counts["before"] = counts.groupby("length")["n"].cumsum() - counts["n"]

@@ -6,8 +6,9 @@ sorted by size, go one by one to the least-loaded shard through a heap. So the d
 LARGE + BUNDLES items at any size of the table, and a bundle is a small share of a shard.
 
 Slots are gapless ranks within a shard: each part of an item (a slice of its rows, one for each SLICE_ROWS of
-them) starts where the part before it ends, and rows are numbered within their part; no task sorts a whole shard
-or a whole hot group. What is broadcast is a row for each part: LARGE + BUNDLES + rows / SLICE_ROWS at most.
+them and for each 1/PARTS of all rows) starts where the part before it ends, and rows are numbered within their
+part; no task sorts a whole shard or a whole hot group. What is broadcast is a row for each part: LARGE + BUNDLES +
+PARTS + rows / SLICE_ROWS at most.
 
 Result: one row per row: doc_id, size, text_crc32, law ("bytes"), shard, slot, grown_shard (null: another
 shard count is another schedule). size is the text's UTF-8 bytes plus 16; a null text has none, its crc32
@@ -29,6 +30,8 @@ LARGE = 4096
 BUNDLES = 1 << 13
 #: Rows of an item that a task numbers on average.
 SLICE_ROWS = 1_000_000
+#: A slice is at most this part of all rows, on average.
+PARTS = 1024
 OVERHEAD = 16
 
 
@@ -63,7 +66,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     # LARGE + BUNDLES rows at most.
     items = named.groupBy("item").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     where = lpt([(int(r["bytes"]), r["item"]) for r in items], shards)
-    slices = spark.createDataFrame([(r["item"], -(-r["n"] // slice_rows)) for r in items], "item string, slices long")
+    each = max(1, min(slice_rows, sum(r["n"] for r in items) // PARTS))
+    slices = spark.createDataFrame([(r["item"], -(-r["n"] // each)) for r in items], "item string, slices long")
     parted = named.join(F.broadcast(slices), "item").select("doc_id", "size", "text_crc32", "item", F.pmod(F.xxhash64("doc_id"), F.col("slices")).alias("slice"))
     parts = parted.groupBy("item", "slice").agg(F.count("*").alias("n")).toPandas()
     parts["shard"] = parts["item"].map(where).astype("int32")
