@@ -10,6 +10,7 @@ SEVERITY = {
     "FMT-01": "advisory", "FMT-02": "advisory", "FMT-03": "advisory", "FMT-07": "must_fix", "FMT-08": "must_fix", "FMT-09": "must_fix", "STR-01": "must_fix", "STR-03": "must_fix",
     "STR-04": "advisory", "STR-05": "advisory", "STR-06": "advisory", "STR-07": "advisory", "STR-08": "advisory", "CON-01": "must_fix", "CON-02": "must_fix", "CON-03": "verify", "CON-04": "must_fix",
     "EXP-01": "advisory", "EXP-05": "advisory", "LAW-01": "must_fix", "LAW-02": "must_fix", "LAW-03": "verify",
+    "FMT-04": "advisory", "FMT-05": "advisory", "FMT-06": "advisory", "EXP-02": "advisory",
 }
 SUPPRESSES = [("FMT-01", "FMT-02"), ("FMT-07", "FMT-01"), ("FMT-07", "FMT-08"), ("FMT-08", "FMT-01"), ("LAW-01", "LAW-02"), ("LAW-01", "LAW-03")]
 SENTENCE, TITLE, OVERVIEW_ITEMS, BODY_PAGES = 110, 20, 5, 2
@@ -149,3 +150,76 @@ def bare_tables(blocks: DataFrame, key: list[str], order: str) -> DataFrame:
     prose = lambda c: F.coalesce(c.isin("para", "item"), F.lit(False))
     beside = blocks.withColumn("ok", prose(F.lag("kind").over(w)) | prose(F.lead("kind").over(w)))
     return hit(beside.where((F.col("kind") == "table") & ~F.col("ok")), "EXP-05", [*key, order], F.lit("no prose"))
+
+
+# Endings of full sentences, which items in note form don't take.
+FULL_ENDINGS = ("습니다", "입니다", "됩니다", "합니다", "았습니다", "었습니다", "해요", "예요", "네요", "세요", "지요", "이다", "한다", "했다", "였다", "된다", "겠다", "있다", "없다")
+
+
+def amount_hits(blocks: DataFrame, key: list[str], text: str = "text", kind: str = "kind") -> DataFrame:
+    """FMT-04: an amount in won outside tables that its reading in brackets doesn't follow."""
+    bare = F.regexp_extract_all(text, F.lit(r"금?\s?(?:\d{1,3}(?:,\d{3})+|\d+)\s?원(?![가-힣]*\s*\(금)"), F.lit(0))
+    return hit(blocks.where(F.col(kind) != "table").select(*key, F.explode(bare).alias("amount")), "FMT-04", key, F.trim("amount"))
+
+
+def law_name_hits(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """FMT-05: the name of a law before an article number without corner brackets or single quotes."""
+    loose = F.regexp_extract_all(text, F.lit(r"(?:[가-힣]+(?:법|법률|시행령|시행규칙|조례)|[『“\"][^』”\"]+[』”\"])\s*제\d+조"), F.lit(0))
+    return hit(rows.select(*key, F.explode(loose).alias("law")), "FMT-05", key, F.col("law"))
+
+
+def enumeration_hits(rows: DataFrame, key: list[str], text: str = "text", longest: int = 5) -> DataFrame:
+    """FMT-06: three or more short nouns joined by commas or slashes."""
+    word = rf"[가-힣A-Za-z]{{1,{longest}}}"
+    listed = F.regexp_extract_all(text, F.lit(rf"(?<![가-힣A-Za-z]){word}(?:\s?,\s?{word}){{2,}}|(?<![가-힣A-Za-z]){word}(?:\s?/\s?{word}){{2,}}"), F.lit(0))
+    return hit(rows.select(*key, F.explode(listed).alias("listed")), "FMT-06", key, F.col("listed"))
+
+
+def ending_hits(items: DataFrame, exempt: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """EXP-02: an item's sentence with a full ending that no exempt span covers. exempt: key, start, end (code points)."""
+    full = rf"({'|'.join(FULL_ENDINGS)})(?=[.!?]?\s*(?:\n|$)|[.!?]\s)"
+    ends = F.regexp_extract_all(text, F.lit(full), F.lit(0))
+    # A match ends after the pieces and matches up to it; pieces and matches alternate.
+    lengths = F.zip_with(F.slice(F.split(F.col(text), full, -1), F.lit(1), F.size(ends)), ends, lambda piece, m: F.length(piece) + F.length(m))
+    at = F.transform(ends, lambda m, i: F.struct(m.alias("ending"), F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x).cast("long").alias("at")))
+    found = items.select(*key, F.inline(at))
+    spans = exempt.select(*key, F.col("start").cast("long").alias("x_start"), F.col("end").cast("long").alias("x_end"))
+    covered = found.join(spans, key).where("at > x_start and at <= x_end").select(*key, "at").distinct()
+    return hit(found.join(covered, [*key, "at"], "left_anti"), "EXP-02", [*key, "at"], F.col("ending"))
+
+
+def citations(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """key, law, article of each law in corner brackets; the article is null where none follows."""
+    cited = F.regexp_extract_all(text, F.lit(r"「[^」]+」(?:\s*제\d+조)?"), F.lit(0))
+    each = rows.select(*key, F.explode(cited).alias("c"))
+    article = F.regexp_extract("c", r"제(\d+)조$", 1)
+    return each.select(*key, F.regexp_extract("c", "「([^」]+)」", 1).alias("law"), F.when(article != "", article.cast("long")).alias("article"))
+
+
+def citation_faults(cited: DataFrame, register: DataFrame, key: list[str], written: str = "written") -> DataFrame:
+    """LAW-01 unknown law, LAW-02 unknown article of a known one, LAW-03 not in force when the document was written.
+
+    cited: key, law, article, and the date of writing. register: law, article, since, until (null: in force). The dates
+    of all versions of an article are compared after one equi-join on law and article.
+    """
+    laws = register.select("law").distinct()
+    unknown = hit(cited.join(laws, "law", "left_anti"), "LAW-01", key, F.col("law"))
+    known = cited.where("article is not null").join(laws, "law", "left_semi")
+    articles = register.select("law", "article").distinct()
+    name = F.concat_ws(" ", F.col("law"), F.col("article").cast("string"))
+    absent = hit(known.join(articles, ["law", "article"], "left_anti"), "LAW-02", key, name)
+    in_force = (F.col("since") <= F.col(written)) & (F.col("until").isNull() | (F.col(written) < F.col("until")))
+    judged = known.join(register, ["law", "article"]).groupBy(*key, "law", "article").agg(F.bool_or(F.coalesce(in_force, F.lit(False))).alias("ok"))
+    return unknown.unionByName(absent).unionByName(hit(judged.where("not ok"), "LAW-03", key, name))
+
+
+def awaiting_judgement(sections: DataFrame, annotations: DataFrame, key: list[str]) -> DataFrame:
+    """What LAW-05 and EXP-04 would have a model judge: documents without grounds, effect sections without a metric.
+
+    sections: key, section_id, tag. annotations: key, section_id, move, steps.
+    """
+    grounds = annotations.where("move = 'GROUNDS'").select(*key).distinct()
+    bare = sections.select(*key).distinct().join(grounds, key, "left_anti").select(*key, F.lit(None).cast("string").alias("section_id"), F.lit("LAW-05").alias("rule"))
+    metric = annotations.where((F.col("move") == "EFFECT") & F.array_contains("steps", "QUANTITATIVE")).select(*key, "section_id").distinct()
+    vague = sections.where("tag = 'SEC_EFFECT'").join(metric, [*key, "section_id"], "left_anti").select(*key, "section_id", F.lit("EXP-04").alias("rule"))
+    return bare.unionByName(vague)

@@ -1,0 +1,3 @@
+"""Registered queries."""
+
+from doclattice.plans import contracts, queries  # noqa: F401
