@@ -9,6 +9,7 @@ section_id, marker, excluded (boolean). sections: document_id, section_id, head_
 
 from __future__ import annotations
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,13 +27,25 @@ CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 BULLETS = "□■❑❒▢❐❏☐∎○◦◯❍◎∘⦁●◆◇◈▶▷▸▹▻►★✓➠❙"
 
 
+def _in_order(part: str, whole: str) -> bool:
+    at = 0
+    for c in part:
+        at = whole.find(c, at) + 1
+        if not at:
+            return False
+    return True
+
+
 def is_subsequence(part: Column, whole: Column) -> Column:
-    """Whether the characters of part occur in whole in that order, white space aside. One pass with a moving cursor."""
-    letters = F.filter(F.split(F.regexp_replace(part, r"(?U)\s", ""), ""), lambda c: c != "")
-    squeezed = F.regexp_replace(whole, r"(?U)\s", "")
-    # The cursor is the next place to look at, from 1; 0 once a character was not found.
-    step = lambda at, c: F.when(at == 0, 0).otherwise(F.coalesce(F.nullif(F.position(c, squeezed, at), F.lit(0)) + 1, F.lit(0)))
-    return F.aggregate(letters, F.lit(1), step) > 0
+    """Whether the characters of part occur in whole in that order, white space aside; null for nulls. Linear in the
+    two texts, which a fold over characters in an expression isn't: each step there copies or recounts a text."""
+
+    @F.pandas_udf("boolean")
+    def judge(parts: pd.Series, wholes: pd.Series) -> pd.Series:
+        pairs = zip(parts, wholes, strict=True)
+        return pd.Series([_in_order("".join(p.split()), "".join(w.split())) if isinstance(p, str) and isinstance(w, str) else None for p, w in pairs], dtype=object)
+
+    return judge(part, whole)
 
 
 def box_fault(box: Column) -> Column:

@@ -200,7 +200,7 @@ def citation_faults(cited: DataFrame, register: DataFrame, key: list[str], writt
     """LAW-01 unknown law, LAW-02 unknown article of a known one, LAW-03 not in force when the document was written.
 
     cited: key, law, article, and the date of writing. register: law, article, since, until (null: in force). The dates
-    of all versions of an article are compared after one equi-join on law and article.
+    of all versions of an article are compared after one equi-join on law and article. A citation that a key repeats counts once.
     """
     laws = register.select("law").distinct()
     unknown = hit(cited.join(laws, "law", "left_anti"), "LAW-01", key, F.col("law"))
@@ -210,7 +210,7 @@ def citation_faults(cited: DataFrame, register: DataFrame, key: list[str], writt
     absent = hit(known.join(articles, ["law", "article"], "left_anti"), "LAW-02", key, name)
     in_force = (F.col("since") <= F.col(written)) & (F.col("until").isNull() | (F.col(written) < F.col("until")))
     judged = known.join(register, ["law", "article"]).groupBy(*key, "law", "article").agg(F.bool_or(F.coalesce(in_force, F.lit(False))).alias("ok"))
-    return unknown.unionByName(absent).unionByName(hit(judged.where("not ok"), "LAW-03", key, name))
+    return unknown.unionByName(absent).unionByName(hit(judged.where("not ok"), "LAW-03", key, name)).distinct()
 
 
 def awaiting_judgement(sections: DataFrame, annotations: DataFrame, key: list[str]) -> DataFrame:

@@ -87,7 +87,7 @@ REGISTER = "register AS (SELECT p_partkey AS law, unnest(range(1, 6)) AS article
 
 
 @query("rule_citations", f"""WITH {REGISTER}, known AS (SELECT * FROM cited WHERE law IN (SELECT law FROM register))
-SELECT l_orderkey, l_linenumber, 'LAW-01' AS rule, 'must_fix' AS severity, law::VARCHAR AS detail FROM cited WHERE law NOT IN (SELECT law FROM register)
+SELECT DISTINCT l_orderkey, l_linenumber, 'LAW-01' AS rule, 'must_fix' AS severity, law::VARCHAR AS detail FROM cited WHERE law NOT IN (SELECT law FROM register)
 UNION ALL SELECT DISTINCT l_orderkey, l_linenumber, 'LAW-02', 'must_fix', law || ' ' || article FROM known k WHERE NOT EXISTS (SELECT 1 FROM register r WHERE r.law = k.law AND r.article = k.article)
 UNION ALL SELECT l_orderkey, l_linenumber, 'LAW-03', 'verify', k.law || ' ' || k.article FROM known k JOIN register r ON r.law = k.law AND r.article = k.article
 GROUP BY l_orderkey, l_linenumber, k.law, k.article HAVING NOT bool_or(since <= written AND (until IS NULL OR written < until))""")
