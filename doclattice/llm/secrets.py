@@ -17,6 +17,8 @@ Repeated rows have the same result each. Extra columns are ignored. An empty tab
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ KINDS = ("assign", "access", "hex", "opaque")
 ASSIGN_VALUE = 6
 #: A value is an example if at least this many owners hold it.
 COPIED_OWNERS = 2
+#: Matches of a text that one fold adds up; a text has any number of such runs.
+RUN = 256
 
 
 def _matches(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
@@ -41,7 +45,6 @@ def _matches(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     pieces = F.split(text, pattern, -1)
     triples = F.arrays_zip(pieces.alias("before"), whole.alias("match"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("pos"), empty.alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["pos"] + F.length(x["before"])
@@ -49,7 +52,24 @@ def _matches(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
         one = F.struct(at.cast("int").alias("at"), F.lit(order).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
         return F.struct(end.cast("int").alias("pos"), F.when(x["match"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(one))).alias("found"))
 
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(triples, start, step, lambda acc: acc["found"])).otherwise(empty)
+    # Runs of RUN matches: where each run starts, then the matches within it. One fold over all would copy what it has found with each match.
+    def runs(all_triples: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_triples) - 1) / RUN).cast("int")), lambda g: F.slice(all_triples, g * RUN + 1, F.lit(RUN)))
+
+    def start_of_runs(parts: Column) -> Column:
+        width = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda n, x: n + F.length(x["before"]) + F.coalesce(F.length(x["match"]), F.lit(0))))
+        return F.aggregate(width, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+
+    def placed(parts: Column) -> Column:
+        first = F.slice(start_of_runs(parts), F.lit(1), F.size(parts))
+        return F.flatten(F.zip_with(parts, first, lambda p, at: F.aggregate(p, F.struct(at.alias("pos"), empty.alias("found")), step, lambda acc: acc["found"])))
+
+    return F.when(F.rlike(text, F.lit(pattern)), _bound(triples, lambda t: _bound(runs(t), placed))).otherwise(empty)
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, though body's own lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _joined(spans: Column) -> Column:
