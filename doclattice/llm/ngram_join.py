@@ -145,11 +145,17 @@ def links(pairs: DataFrame, texts: DataFrame, k: int, limit: Threshold) -> DataF
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(k, limit), "a long, b long")
 
 
+def _sizes(limit: Threshold, n1: str, n2: str) -> Column:
+    """Size filter."""
+    a, b = F.col(n1), F.col(n2)
+    return F.least(a, b) * limit.den >= F.greatest(a, b) * limit.num
+
+
 def _could_link(limit: Threshold, n1: str, p1: str, n2: str, p2: str) -> Column:
-    """Size filter, and the filter by the positions of a shared shingle (from 0): what follows must suffice."""
+    """Size filter, and the filter by the positions of the first shared shingle (from 0): it and what follows must suffice."""
     a, b = F.col(n1), F.col(n2)
     least = limit.overlap(a, b)
-    return (F.least(a, b) * limit.den >= F.greatest(a, b) * limit.num) & (F.col(p1) <= a - least) & (F.col(p2) <= b - least)
+    return _sizes(limit, n1, n2) & (F.col(p1) <= a - least) & (F.col(p2) <= b - least)
 
 
 def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,13 +211,14 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     spread = labelled.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
     mixed = materialize(labelled.join(spread, "shingle", "left_semi"), "mixed")
     right = mixed.select("shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("component2"))
+    # All shared shingles of a pair are counted, those too that the position filter would refuse as the first one.
     cross = (
-        mixed.join(right, "shingle").where((F.col("gid") < F.col("other")) & (F.col("component") != F.col("component2")) & _could_link(limit, "n", "pos", "m", "at"))
-        .groupBy(F.col("gid").alias("a"), F.col("other").alias("b"), "n", "m").agg(F.count("*").alias("common"))
+        mixed.join(right, "shingle").where((F.col("gid") < F.col("other")) & (F.col("component") != F.col("component2")) & _sizes(limit, "n", "m"))
+        .groupBy(F.col("gid").alias("a"), F.col("other").alias("b"), "n", "m").agg(F.count("*").alias("common"), F.min("pos").alias("pos"), F.min("at").alias("at"))
     )
     # Count filter: what the prefixes don't share must be made up for by what comes after them.
     longest = F.ceil(F.greatest("n", "m") * limit.num / limit.den) - 1
-    cross = cross.where(F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m"))).select("a", "b")
+    cross = cross.where(_could_link(limit, "n", "pos", "m", "at") & (F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m")))).select("a", "b")
     rest = _expand(cross, members).join(star, ["a", "b"], "left_anti")
     # Groups of several members whose members did not all link with the first: their other pairs.
     loose = members.join(labels.select(F.col("node").alias("member"), "component"), "member", "left").withColumn("component", F.coalesce("component", "member"))

@@ -86,3 +86,28 @@ def test_heavy_counts(spark):
     keys, counts, total = heavy_hitters(docs, "text", one)
     common = next(words(pa.array(["common"]), Alphabet())).hashes[0]
     assert total == 800 and len(keys) < HEAVY_MAX and counts[np.searchsorted(keys, common)] >= 400 - 4
+
+
+def families_agree(spark, families, k=4, num=85):
+    """Families share no words, so brute force takes each by itself."""
+    docs, want, first = [], [], 0
+    for texts in families:
+        family = list(enumerate(texts, first))
+        first += len(texts)
+        docs += family
+        want += brute(family, k, num)
+    got = map(tuple, ngram_components(spark.createDataFrame(docs, "doc_id long, text string"), k, Threshold(num, 100)).collect())
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_nested_truncations_whose_shingles_have_other_pivots(spark):
+    rng, families = random.Random(5), []
+    for f in range(30):
+        long = [f"f{f}w{i}" for i in range(103)]
+        # Windows have the shared shingles earlier than the long texts, so no star joins 80, 90 and 100 shingles.
+        family = [long, long[:93], long[:83]] + [long[i : i + 40] for i in range(0, 64, 7)]
+        short = [f"f{f}s{i}" for i in range(23)]
+        family += [short, short[:-1] + [f"f{f}e"]] + [short[i : i + 10] for i in range(0, 14, 2)]
+        rng.shuffle(family)
+        families.append([" ".join(words) for words in family])
+    families_agree(spark, families)
