@@ -205,25 +205,33 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     first = materialize(links(_expand(star, members).unionAll(inside).distinct(), texts, k, limit), "links")
     labels = connected_components(first)
 
-    # Between components: what the stars did not settle.
-    labelled = live.select("shingle", "gid", "n", "pos").join(labels.select(F.col("node").alias("gid"), "component"), "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+    # Between components: what the stars did not settle. Members of a group may be in several components, lo to hi.
+    label = labels.select(F.col("node").alias("member"), "component")
+    parted = members.join(label, "member", "left").withColumn("component", F.coalesce("component", "member"))
+    parted = materialize(parted, "parted", small=True)
+    several = parted.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    single = label.select(F.col("member").alias("gid"), "component")
+    labelled = live.select("shingle", "gid", "n", "pos").join(single, "gid", "left").join(several, "gid", "left")
+    labelled = labelled.select("shingle", "gid", "n", "pos", F.coalesce("lo", "component", "gid").alias("lo"), F.coalesce("hi", "component", "gid").alias("hi"))
     labelled = materialize(labelled, "labelled")
-    spread = labelled.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    spread = labelled.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("shingle")
     mixed = materialize(labelled.join(spread, "shingle", "left_semi"), "mixed")
-    right = mixed.select("shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("component2"))
+    right = mixed.select("shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    apart = F.least("lo", "lo2") < F.greatest("hi", "hi2")
     # All shared shingles of a pair are counted, those too that the position filter would refuse as the first one.
     cross = (
-        mixed.join(right, "shingle").where((F.col("gid") < F.col("other")) & (F.col("component") != F.col("component2")) & _sizes(limit, "n", "m"))
+        mixed.join(right, "shingle").where((F.col("gid") < F.col("other")) & apart & _sizes(limit, "n", "m"))
         .groupBy(F.col("gid").alias("a"), F.col("other").alias("b"), "n", "m").agg(F.count("*").alias("common"), F.min("pos").alias("pos"), F.min("at").alias("at"))
     )
     # Count filter: what the prefixes don't share must be made up for by what comes after them.
     longest = F.ceil(F.greatest("n", "m") * limit.num / limit.den) - 1
     cross = cross.where(_could_link(limit, "n", "pos", "m", "at") & (F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m")))).select("a", "b")
-    rest = _expand(cross, members).join(star, ["a", "b"], "left_anti")
+    # Stars have compared all members of their pairs; of the other pairs, members of one component need no comparison.
+    rest = _expand(cross.join(star, ["a", "b"], "left_anti"), members)
+    one, two = (label.select(F.col("member").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    rest = rest.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     # Groups of several members whose members did not all link with the first: their other pairs.
-    loose = members.join(labels.select(F.col("node").alias("member"), "component"), "member", "left").withColumn("component", F.coalesce("component", "member"))
-    split = loose.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gid")
-    loose = loose.join(split, "gid", "left_semi")
+    loose = parted.join(several.select("gid"), "gid", "left_semi")
     other = loose.select("gid", F.col("member").alias("b"), F.col("component").alias("component2"))
     within = loose.withColumnRenamed("member", "a").join(other, "gid").where("a < b and component <> component2").select("a", "b")
     second = links(rest.unionAll(within).distinct(), texts, k, limit)

@@ -7,7 +7,7 @@ import pytest
 
 from doclattice.llm.components import connected_components
 from doclattice.llm.heavy import HEAVY_MAX, heavy_hitters
-from doclattice.llm.ngram_join import Threshold, ngram_components
+from doclattice.llm.ngram_join import WORDS, Threshold, ngram_components, shingles
 from doclattice.llm.textkit import Alphabet, words
 
 
@@ -111,3 +111,19 @@ def test_nested_truncations_whose_shingles_have_other_pivots(spark):
         rng.shuffle(family)
         families.append([" ".join(words) for words in family])
     families_agree(spark, families)
+
+
+def test_a_member_that_its_group_does_not_hold_links_with_another_group(spark):
+    pool = [f"word{i}" for i in range(60)]
+    keys, _ = shingles(next(words(pa.array([" ".join(pool)]), WORDS)), 1)
+    pool = [pool[i] for i in np.argsort(keys)]  # in the order that the join takes
+    prefix, rest, of_g, of_x, extra = pool[:7], pool[7:36], pool[36:40], pool[40:44], pool[44:45]
+    g = prefix + rest + of_g
+    x = prefix + rest + of_x  # size and prefix of g, and no link with it
+    y = prefix + rest + of_g[:2] + of_x[:2] + extra  # links with both
+    z = prefix[1:] + rest + of_g + extra  # joins g and y by stars; decoys are the pivots of all else
+    docs = [(i, w) for i, w in enumerate(prefix) if i != 3] + [(10 + i, " ".join(d)) for i, d in enumerate((g, x, y, z))]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(docs, len(docs)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_components(frame, 1).collect()}
+    assert [got[i] for i in (10, 11, 12, 13)] == [10] * 4
+    assert got == {d: c for d, _, c in brute(docs, 1)}
