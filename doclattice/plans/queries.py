@@ -119,6 +119,23 @@ def locate_unique(s: SparkSession, d: str) -> DataFrame:
     return quoted_docs(s, d).select("doc_id", T.locate(F.col("text"), F.col("quote"), F.lit(None).cast("int")).alias("x")).select("doc_id", "x.*")
 
 
+def whole_quoted_docs(s: SparkSession, d: str) -> DataFrame:
+    """Of all documents: long texts, and short ones, whose quote is empty."""
+    return docs(s, d).select("doc_id", "text", F.substring("text", 11, 3).alias("quote"))
+
+
+# DuckDB's list_filter tries each position of a text, which is too slow on long ones: no SQL, tested against plain loops.
+@query("locate_all_overlapping_whole")
+def locate_all_whole(s: SparkSession, d: str) -> DataFrame:
+    rows = whole_quoted_docs(s, d).withColumn("found", T.starts(F.col("text"), F.col("quote")))
+    return rows.select("doc_id", "quote", F.size("found").alias("n"), F.get("found", F.lit(0)).alias("first"), F.try_element_at("found", F.lit(-1)).alias("last"))
+
+
+@query("locate_unique_whole")
+def locate_unique_whole(s: SparkSession, d: str) -> DataFrame:
+    return whole_quoted_docs(s, d).select("doc_id", T.locate(F.col("text"), F.col("quote"), F.lit(None).cast("int")).alias("x")).select("doc_id", "x.*")
+
+
 SIZED = f"{LINES}, sized AS (SELECT *, 8 + ((doc_id + line_no) % 5) * 1.5 AS size FROM lines)"
 
 

@@ -1,5 +1,6 @@
 """Small fixtures for the document operators."""
 
+import random
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -122,3 +123,20 @@ def test_response_codes_fire_and_do_not(spark):
     codes = {r.code for r in QUERIES["response_issues"](spark, "/root/testdata/sf0.001").collect()}
     assert codes == {"V02", "V03", "V04", "V05", "V06", "V07", "V08", "V09", "V12"}
     assert validate.duplicate_keys(spark.range(3), ["id"]).count() == 0
+
+
+def test_quotes_are_located_in_all_documents(spark, tmp_path):
+    from doclattice.plans.queries import QUERIES
+
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghijklmnop \n") for _ in range(60_000))
+    texts = [None, "", "short", "x" * 10, "x" * 11, "0123456789ab", "aa" * 10, "0123456789(.)" + "z" * 5000 + "(.)", "a" * 4000, long, "0123456789éß𝄞" + long]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    every, one = {}, {}
+    for i, t in enumerate(texts):
+        q = None if t is None else t[10:13]
+        found = [p for p in range(len(t)) if t.startswith(q, p)] if q else []
+        every[i] = (q, len(found), found[0] if found else None, found[-1] if found else None)
+        one[i] = (None, None, "empty_quote") if not q else (None, None, "ambiguous") if len(found) > 1 else (found[0], found[0] + len(q), None)
+    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_all_overlapping_whole"](spark, str(tmp_path)).collect()} == every
+    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_unique_whole"](spark, str(tmp_path)).collect()} == one
