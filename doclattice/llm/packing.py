@@ -24,6 +24,7 @@ ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,14 +46,17 @@ VOCABULARY = "byte_bpe_50k"
 
 
 def encoder(name: str = VOCABULARY):
-    """Token ids of a text, as an array. The rank file holds the same vocabulary as the .json one and is the faster form."""
+    """Token ids of a text, as an array: those of the vocabulary's .json file without added special tokens. Its rank file is the
+    faster form for ordinary text; strings of the .json file's special tokens that a text holds become their ids, as there."""
     import public_tokenizers
     import tiktoken
 
+    with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    made = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: np.asarray(made.encode_to_numpy(text, disallowed_special=()), np.uint32)
+    made = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: np.asarray(made.encode_to_numpy(text, allowed_special="all"), np.uint32)
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -63,8 +67,9 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
 def _pieces(capacity: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(name)
+        seen = 0
         for batch in batches:
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(5)]
             for number, text in enumerate(batch.column("text")):
                 ids = np.append(encode(text.as_py() or ""), np.uint32(CLOSING_ID)).astype("<u4")
                 at = 0
@@ -72,8 +77,10 @@ def _pieces(capacity: int, name: str):
                     for column, x in zip(rows, (number, piece, at, n, zlib.crc32(ids[at : at + n].tobytes())), strict=False):
                         column.append(x)
                     at += n
+            salt = pa.array([seen + r for r in rows[0]], pa.int64())
+            seen += len(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:5])], ["doc_id", "piece", "start", "length", "ids_crc32"]
+                [batch.column("doc_id").take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:5]), salt], ["doc_id", "piece", "start", "length", "ids_crc32", "salt"]
             )
 
     return run
@@ -176,13 +183,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, id_c
     spark = docs.sparkSession
     short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = materialize(docs.mapInArrow(_pieces(capacity, name), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    pieces = materialize(docs.mapInArrow(_pieces(capacity, name), "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"), "pieces")
     # capacity counts at most.
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     made = np.array(sorted(plan(histogram, capacity)), np.int64).reshape(-1, 5)
     each = max(1, min(slice_rows, sum(histogram.values()) // PARTS))
     slices = spark.createDataFrame([(length, -(-n // each)) for length, n in histogram.items()], "length long, slices long")
-    sliced = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("slices")))
+    sliced = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.col("slices")))
     counts = sliced.groupBy("length", "slice").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "slice"])
     counts["before"] = counts.groupby("length")["n"].cumsum() - counts["n"]
     before = spark.createDataFrame([(int(r.length), int(r.slice), int(r.before)) for r in counts.itertuples()], "length long, slice long, before long")

@@ -46,7 +46,6 @@ def test_dominance_fixes_perfect_pairs():
 
 def check_rows(rows, docs, capacity):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = []
     for i, text in docs:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
@@ -77,6 +76,12 @@ def test_small_cases(spark):
     assert empty.collect() == [] and [f.name for f in empty.schema] == [c.split()[0] for c in OUT.split(", ")]
 
 
+def test_equal_rows_spread_over_slices(spark):
+    docs = [(None, "same row")] * 300 + [(1, "same row")] * 300
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    check_rows(pack(frame, 16, slice_rows=10).collect(), docs, 16)
+
+
 def test_whole_table(spark):
     d = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
