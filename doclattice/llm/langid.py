@@ -19,7 +19,8 @@ evidence, only training data.
 Result: one row per page and per document: kind ("page" or "document"), doc_id, page_id, language,
 text_language (text alone), declared, confidence. Null or empty texts have no text evidence: the priors decide. A
 null or malformed url has no host and no suffix. Repeated rows have a result each. Extra columns are ignored.
-Without labelled documents the language is null. Empty tables give no rows.
+Without labelled documents the language is null. Empty tables give no rows. Very long and broken markup takes time in
+proportion to its length (see visible). Labels beyond the LANGUAGES most frequent ones count as none.
 """
 
 from __future__ import annotations
@@ -39,8 +40,11 @@ BUCKETS, TEMPER, KAPPA, ALPHA = 1 << 16, 0.1, 5.0, 1.0
 #: Bytes that are looked up at once.
 CHUNK = 1 << 20
 
-TAGS = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
-DECLARED = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.IGNORECASE)
+#: Languages that the model knows: the labels of most documents, ties to the smaller one. Rarer labels are no evidence.
+LANGUAGES = 256
+
+LANG = re.compile(rb"\blang\s*=\s*[\"']?([a-z]{2,3})")
+NAME = re.compile(rb"[a-z0-9_]*")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c in (9, 10, 11, 12, 13) or 33 <= c <= 64 else c for c in range(256))
 
 
@@ -52,26 +56,68 @@ def triples(text: bytes) -> Iterator[np.ndarray]:
         yield ((d[:-2] << np.uint32(16) | d[1:-1] << np.uint32(8) | d[2:]) * np.uint32(2654435761) >> np.uint32(16)).astype(np.int64)
 
 
+def visible(html: bytes) -> bytes:
+    """Text outside tags, comments, scripts and styles; each of these is a space. One pass: every search goes on where the last ended.
+
+    A comment, script or style that isn't closed reaches to the end; a < after which no > comes is text."""
+    low, out, at = html.lower(), [], 0
+    while (start := html.find(b"<", at)) >= 0:
+        out.append(html[at:start])
+        name = NAME.match(low, start + 1)[0]
+        if low.startswith(b"<!--", start):
+            end = html.find(b"-->", start + 4)
+            at = end + 3 if end >= 0 else len(html)
+        else:
+            closing = low.find(b"</" + name, start) if name in (b"script", b"style") else start
+            at = html.find(b">", closing) + 1 if closing >= 0 else len(html)
+            if not at:
+                if closing == start:
+                    out.append(html[start:])
+                at = len(html)
+        out.append(b" ")
+    out.append(html[at:])
+    return b"".join(out)
+
+
+def declared_language(html: bytes) -> str | None:
+    """The first two or three letters of the lang attribute of the first html tag that has one."""
+    low, at = html.lower(), 0
+    while (start := low.find(b"<html", at)) >= 0:
+        at = start + 5
+        if NAME.match(low, at)[0]:
+            continue
+        end = low.find(b">", at)
+        # A tag without an end holds all that follows.
+        if told := LANG.search(low, at, len(low) if end < 0 else end):
+            return told[1].decode()
+        if end < 0:
+            return None
+        at = end + 1
+    return None
+
+
 def _train(languages: list[str]):
     place = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), BUCKETS), np.int64)
+        counts: dict[int, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist(), strict=True):
                 if text.is_valid and lang in place:
+                    mine = counts.setdefault(place[lang], np.zeros(BUCKETS, np.int64))
                     for t in triples(text.as_py().encode("utf-8", "surrogatepass")):
-                        np.add.at(counts[place[lang]], t, 1)
-        lang, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"])
+                        mine += np.bincount(t, minlength=BUCKETS)
+        for lang, mine in counts.items():
+            bucket = np.flatnonzero(mine)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), lang)), pa.array(bucket), pa.array(mine[bucket])], ["lang", "bucket", "n"])
 
     return run
 
 
-def text_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and log probabilities by bucket and language. Its size is languages times BUCKETS."""
+def text_model(docs: DataFrame, most: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and log probabilities by bucket and language. Its size is BUCKETS times most at the most."""
     labelled = docs.where("lang is not null").select("text", "lang")
-    languages = sorted(r.lang for r in labelled.groupBy("lang").count().collect())
+    languages = sorted(r.lang for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect())
     model = np.zeros((len(languages), BUCKETS))
     if languages:
         rows = labelled.mapInArrow(_train(languages), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -87,9 +133,8 @@ def _evidence(shared, html: bool):
             for row, raw in enumerate(batch.column("raw")):
                 text = raw.as_py().encode("utf-8", "surrogatepass") if raw.is_valid else b""
                 if html:
-                    told = DECLARED.search(text)
-                    declared.append(told[1].decode().lower() if told else None)
-                    text = TAGS.sub(b" ", text)
+                    declared.append(declared_language(text))
+                    text = visible(text)
                 else:
                     declared.append(None)
                 for t in triples(text):

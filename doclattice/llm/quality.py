@@ -3,31 +3,37 @@
 Two generative models over hashed n-grams, one of target text (labelled rows of good quality) and one of
 raw text (all documents), give each document a log weight: the log ratio of its whole text's probabilities.
 Gumbel noise is added and the top k are taken, which samples without replacement in proportion to the
-weights. k may be given; otherwise it is the number of documents whose noisy weight reaches a cut that
-held-out labelled rows determine.
+weights. k is fixed before any document is scored: it may be given; otherwise it is the number of documents times the
+share of good ones among the labelled, plus MARGIN standard errors of that share, so that good documents aren't cut off.
+
+The k-th score is found without sorting: scores are written as whole numbers in the same order, and counts by their
+highest 16 bits, then by the next 16 among those that share the k-th's, and so on, lead to it in four grouped counts of at
+most 65,536 rows. Ties at the k-th score go to the smaller id in the same way; null ids come last.
 
 Features: words, word pairs, triples of character classes and patterns of recent repetition, hashed into
 BUCKETS each. Counts cover all documents. Labelled rows are a bounded sample (at most MAX_LABELS, the smallest
-by hash of their id), half of which train the target model and half of which set the cut.
+by hash of their id), half of which train the target model; the rest serve to measure it.
 
 Result: one row per document: doc_id, log_weight, score (with noise), keep. A null or empty text holds no
-evidence, so its weight is 0. Rows that repeat an id have the same noise; a null id's label is unknown. Labels
-of unknown documents, and null qualities, are ignored; an id labelled twice has its lowest quality. Without
-labels of both kinds nothing is rejected. Extra columns are ignored. An empty table gives no rows.
+evidence, so its weight is 0. Rows that repeat an id have the same noise; those that share both the k-th score and its id are
+kept together. A null id's label is unknown. Labels of unknown documents, and null qualities, are ignored; an id labelled
+twice has its lowest quality. Without labels of both kinds nothing is rejected. Extra columns are ignored. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclattice.llm.textkit import U64, Alphabet, _buffers, mix, words
-from doclattice.session import short_batches
+from doclattice.session import materialize, short_batches
 
 #: Labelled rows used at most.
 MAX_LABELS = 100_000
@@ -36,8 +42,8 @@ BUCKETS = 1 << 15
 FEATURES = 3 * BUCKETS + 16
 #: Added to both counts of a ratio, so that rare features say little.
 SMOOTHING = 2.0
-#: A clean held-out document below the cut costs as much as so many poor ones above it.
-CLEAN_COST = 4.0
+#: Standard errors that are added to the share of good documents among the labelled.
+MARGIN = 3.0
 SEED = 77
 
 
@@ -134,33 +140,20 @@ def weigh(column: pa.Array, ratios: np.ndarray) -> np.ndarray:
     return out
 
 
-def _held_out(labels: Labels, ratios: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = labels.of(batch.column("doc_id"))
-            rows = np.flatnonzero((at >= 0) & ~labels.trains[at]) if len(labels.ids) else np.empty(0, np.int64)
-            part = batch.take(pa.array(rows))
-            score = weigh(part.column("text"), ratios) + gumbel(part.column("doc_id"))
-            yield pa.RecordBatch.from_arrays([pa.array(score), pa.array(labels.good[at[rows]])], ["score", "good"])
+@dataclass(frozen=True)
+class Model:
+    """Log ratios by feature, and the share of all documents that is kept."""
 
-    return run
+    ratios: np.ndarray
+    share: float
 
 
-def best_cut(score: np.ndarray, good: np.ndarray, clean_cost: float = CLEAN_COST) -> float:
-    """The cut of least cost: midway between two neighbours of the held-out scores."""
+def good_share(good: np.ndarray, margin: float = MARGIN) -> float:
+    """Share of good ones, with a margin for the size of the sample; all, unless both kinds are there."""
     if not good.any() or good.all():
-        return -np.inf
-    order = np.argsort(score, kind="stable")
-    score, good = score[order], good[order]
-    cost = clean_cost * np.concatenate([[0], np.cumsum(good)]) + np.concatenate([[0], np.cumsum(~good)])[-1] - np.concatenate([[0], np.cumsum(~good)])
-    i = int(np.argmin(cost))
-    return -np.inf if i == 0 else float(score[-1]) + 1 if i == len(score) else float(score[i - 1] + score[i]) / 2
-
-
-@dataclass(frozen=True)
-class Model:
-    ratios: np.ndarray
-    cut: float
+        return 1.0
+    share = float(good.mean())
+    return min(1.0, share + margin * math.sqrt(share * (1 - share) / len(good)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELS) -> Model:
@@ -172,41 +165,99 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELS) -> Model:
     at = counted["feature"].to_numpy(np.int64)
     raw[at], target[at] = counted["raw"].to_numpy(np.float64), counted["target"].to_numpy(np.float64)
     if not target.sum():
-        return Model(np.zeros(FEATURES), -np.inf)
-    ratios = log_ratios(raw, target)
-    held = docs.mapInArrow(_held_out(sample, ratios), "score double, good boolean").toPandas()
-    return Model(ratios, best_cut(held["score"].to_numpy(np.float64), held["good"].to_numpy(bool)))
+        return Model(np.zeros(FEATURES), 1.0)
+    return Model(log_ratios(raw, target), good_share(sample.good))
+
+
+def in_order(score: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the scores."""
+    bits = score.astype(np.float64).view(np.int64)
+    return bits ^ (bits >> np.int64(63) & np.int64(0x7FFFFFFFFFFFFFFF))
+
+
+def _weighed(batch: pa.RecordBatch, ratios: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    ids = batch.column("doc_id").cast(pa.int64())
+    weight = weigh(batch.column("text"), ratios)
+    return ids, weight, weight + gumbel(ids)
 
 
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios, cut = shared.value
         for batch in batches:
-            weight = weigh(batch.column("text"), ratios)
-            score = weight + gumbel(batch.column("doc_id"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(weight), pa.array(score), pa.array(score >= cut)], ["doc_id", "log_weight", "score", "keep"])
+            ids, weight, score = _weighed(batch, shared.value)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(weight), pa.array(score), pa.array(in_order(score))], ["doc_id", "log_weight", "score", "place"])
 
     return run
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
-    """doc_id, log_weight, score, keep. With k: the k highest scores, ties to the smaller id."""
-    model = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.cut))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scored(shared), "doc_id long, log_weight double, score double, keep boolean")
-    return out if k is None else out.orderBy(F.desc("score"), "doc_id").limit(k).withColumn("keep", F.lit(True))
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _largest(rows: DataFrame, column: Column, k: int) -> tuple[int, int]:
+    """The k-th largest (from 1) of a column of longs, and how many of its equals are among the first k. Grouped counts by 16 bits each."""
+    known = 0  # what has been found: the bits above shift, of the value less LEAST
+    for shift in (48, 32, 16, 0):
+        digit = F.shiftrightunsigned(column.bitwiseXOR(F.lit(LEAST)), shift)
+        inside = rows if shift == 48 else rows.where(F.shiftrightunsigned(column.bitwiseXOR(F.lit(LEAST)), shift + 16) == known)
+        counts = inside.groupBy(digit.bitwiseAND(F.lit(0xFFFF)).alias("digit")).agg(F.count("*").alias("n")).collect()
+        for r in sorted(counts, key=lambda r: -r.digit):
+            if k <= r.n:
+                known = known << 16 | r.digit
+                break
+            k -= r.n
+    return known + LEAST, k
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Rows of a larger place are kept, and of an equal place those of an id up to last_id."""
+
+    place: int
+    last_id: int
+
+    def column(self) -> Column:
+        return (F.col("place") > self.place) | (F.col("place") == self.place) & (F.coalesce("doc_id", F.lit(MOST)) <= self.last_id)
 
+    def mask(self, ids: pa.Array, score: np.ndarray) -> np.ndarray:
+        place = in_order(score)
+        return (place > self.place) | (place == self.place) & (ids.fill_null(MOST).to_numpy(zero_copy_only=False) <= self.last_id)
 
-def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without those that the classifier rejects, all columns kept."""
+
+def top_cut(scored: DataFrame, k: int, total: int) -> Cut:
+    """What the k highest scores have in common."""
+    if k >= total:
+        return Cut(LEAST, MOST)
+    if k <= 0:
+        return Cut(MOST, LEAST)
+    place, equals = _largest(scored, F.col("place"), k)
+    # Smallest ids first: the largest of the complements.
+    ties = scored.where(F.col("place") == place).select(F.bitwise_not(F.coalesce("doc_id", F.lit(MOST))).alias("turned"))
+    return Cut(place, ~_largest(ties, F.col("turned"), equals)[0])
+
+
+def _resampled(docs: DataFrame, labels: DataFrame, k: int | None) -> tuple[DataFrame, Cut, object]:
     model = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.cut))
+    shared = docs.sparkSession.sparkContext.broadcast(model.ratios)
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scored(shared), "doc_id long, log_weight double, score double, place long")
+    scored = materialize(scored, "scored")
+    total = scored.count()
+    return scored, top_cut(scored, math.ceil(total * model.share) if k is None else k, total), shared
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
+    """doc_id, log_weight, score, keep for each row of docs: keep holds for the k highest scores, ties to the smaller id."""
+    scored, cut, _ = _resampled(docs, labels, k)
+    return scored.select("doc_id", "log_weight", "score", cut.column().alias("keep"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
+    """docs without those that the classifier rejects, all columns kept. Whole texts aren't shuffled: a second narrow pass weighs them again."""
+    _, cut, shared = _resampled(docs, labels, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios, cut = shared.value
         for batch in batches:
-            score = weigh(batch.column("text"), ratios) + gumbel(batch.column("doc_id").cast(pa.int64()))
-            yield batch.filter(pa.array(score >= cut))
+            ids, _, score = _weighed(batch, shared.value)
+            yield batch.filter(pa.array(cut.mask(ids, score)))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,4 +1,11 @@
-from doclattice.llm.langid import identify, op5
+import math
+import re
+import time
+from collections import Counter, defaultdict
+
+import pytest
+
+from doclattice.llm.langid import ALPHA, BUCKETS, KAPPA, TEMPER, declared_language, identify, op5, text_model, triples, visible
 
 EN, FR = "the house and the garden with that other thing ", "la maison et le jardin avec cette autre chose "
 
@@ -39,3 +46,84 @@ def test_accuracy(spark):
     assert len(right) == 1000 and sum(right) / len(right) > 0.97
     pages = [r for r in rows if r.kind == "page"]
     assert len(pages) == 250 and sum(r.language == r.declared for r in pages if r.declared) / len(pages) > 0.6
+
+
+def test_markup():
+    assert visible(b"a<b>c</b>d<!-- <p> -->e<SCRIPT x>if (a<b) y</Script >f<style>q</style\n>g <x") == b"a c d e f g <x "
+    assert visible(b"x<!-- open <p>y") == b"x " and visible(b"x<script>open <p>y") == b"x " and visible(b"<scripted>y") == b" y" and visible(b"") == b""
+    told = {b"<html lang=en>": "en", b"<HTML class=x LANG='FRA-x'>": "fra", b"<html><html lang=de>": "de", b"<htmlx lang=en>": None, b"<html data='x' xml:lang=\"es\"": "es", b"<html>lang=en": None, b"": None}
+    assert {k: declared_language(k) for k in told} == told
+
+
+@pytest.mark.parametrize("part", [b"<", b"<script>", b"<html ", b"<!--", b"<html lang ", b"</script", b"<style", b"<script></scrip", b"lang", b"<html lang" + b" " * 50])
+def test_broken_markup_takes_linear_time(part):
+    html = part * ((1 << 20) // len(part))
+    began = time.time()
+    visible(html)
+    declared_language(html)
+    assert time.time() - began < 5
+
+
+def test_rare_labels_are_no_classes(spark):
+    docs = spark.createDataFrame([(EN, "en")] * 3 + [(FR, "fr")] * 2 + [(EN, f"x{i}") for i in range(9)], "text string, lang string")
+    languages, model = text_model(docs, 2)
+    assert languages == ["en", "fr"] and model.shape == (BUCKETS, 2)
+
+
+def plain_posterior(docs, pages):
+    """(kind, id, language, confidence) by dictionaries."""
+    languages = sorted({d.lang for d in docs if d.lang is not None})
+    counts = {x: Counter() for x in languages}
+    for d in docs:
+        if d.lang is not None and d.text is not None:
+            for t in triples(d.text.encode()):
+                counts[d.lang].update(t.tolist())
+    rows = []
+    for kind, i, text, host, domain, suffix, declared in [("document", d.doc_id, (d.text or "").encode(), None if d.source is None else "source:" + d.source, None, None, None) for d in docs] + [
+        ("page", p.page_id, visible((p.html or "").encode()), *parts(p.url), declared_language((p.html or "").encode())) for p in pages
+    ]:
+        met = [b for t in triples(text) for b in t.tolist()]
+        lik = [TEMPER * sum(math.log((counts[x][b] + ALPHA) / (sum(counts[x].values()) + ALPHA * BUCKETS)) for b in met) for x in languages]
+        rows.append((kind, i, lik, None if max(lik) - min(lik) < 1e-9 else lik.index(max(lik)), host, domain, suffix, declared))
+
+    def table(place):
+        out = defaultdict(lambda: [0] * len(languages))
+        for r in rows:
+            if r[place] is not None and r[3] is not None:
+                out[r[place]][r[3]] += 1
+        return out
+
+    by_host, by_domain, by_suffix, by_declared = (table(p) for p in (4, 5, 6, 7))
+    total = [sum(r[3] == x for r in rows) for x in range(len(languages))]
+    on_pages = [sum(r[3] == x and r[0] == "page" for r in rows) for x in range(len(languages))]
+    top = [(t + ALPHA) / (sum(total) + ALPHA * len(languages)) for t in total]
+    values = {place: max(1, len({r[place] for r in rows if r[place] is not None})) for place in (6, 7)}
+
+    def smooth(counts, parent):
+        return [(c + KAPPA * p) / (sum(counts) + KAPPA) for c, p in zip(counts, parent)] if counts else parent
+
+    out = []
+    for kind, i, lik, _, host, domain, suffix, declared in rows:
+        prior = smooth(by_host.get(host), smooth(by_domain.get(domain), smooth(by_suffix.get(suffix), top)))
+        post = [a + math.log(p) for a, p in zip(lik, prior)]
+        for given, place, key in ((by_declared, 7, declared), (by_suffix, 6, suffix)):
+            if key in given:
+                post = [a + math.log((c + ALPHA) / (t + ALPHA * values[place])) for a, c, t in zip(post, given[key], on_pages)]
+        most = max(post)
+        out.append((kind, i, languages[post.index(most)], round(1 / sum(math.exp(x - most) for x in post), 4)))
+    return sorted(out, key=str)
+
+
+def parts(url):
+    m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", url or "")
+    host = m[1].lower() if m else None
+    return (host, ".".join(host.split(".")[-2:]), host.split(".")[-1]) if host else (None, None, None)
+
+
+def test_fused_posterior_against_plain_arithmetic(spark):
+    docs, pages = small(spark)
+    docs = docs.where("doc_id is null or doc_id <> 102")
+    got = sorted(((r.kind, r.doc_id if r.kind == "document" else r.page_id, r.language, round(r.confidence, 4)) for r in identify(docs, pages).collect()), key=str)
+    want = plain_posterior(docs.collect(), pages.collect())
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 2e-3 for g, w in zip(got, want))
