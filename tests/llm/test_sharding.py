@@ -1,3 +1,5 @@
+import heapq
+import random
 import zlib
 from collections import defaultdict
 
@@ -26,6 +28,7 @@ def test_small_cases(spark):
     verify(shard_rows(frame, 4, slice_rows=3).collect(), docs, 4)
     repeated = shard_rows(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "doc_id long, text string"), 2).collect()
     assert sorted((r.doc_id, r.slot) for r in repeated) == [(1, 0), (1, 1), (2, 0)]
+    assert shard_rows(spark.createDataFrame([(1, None), (2, None)], "doc_id long, text string"), 2).count() == 2
     assert shard_rows(frame.limit(0), 4).collect() == []
 
 
@@ -41,5 +44,47 @@ def test_whole_table_is_balanced(spark):
     assert max(load.values()) <= mean * 1.05 and min(load.values()) >= mean * 0.95
 
 
-def test_lpt_takes_largest_first():
-    assert lpt([(5, "a"), (4, "b"), (3, "c"), (3, "d")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+def plain_lpt(sizes, shards):
+    """One by one through a heap: the shards' loads, and each shard's items by size."""
+    heap, got = [(0, s) for s in range(shards)], defaultdict(lambda: defaultdict(int))
+    for size in sorted(sizes, reverse=True):
+        load, s = heapq.heappop(heap)
+        got[s][size] += 1
+        heapq.heappush(heap, (load + size, s))
+    return sorted(heap), got
+
+
+def test_fill_and_schedule_against_a_heap():
+    rng = random.Random(9)
+    for _ in range(60):
+        shards = rng.randint(1, 7)
+        histogram = {rng.randint(1, 60): rng.choice([1, 2, 5, 40, 300]) for _ in range(rng.randint(1, 12))}
+        heap, got = plain_lpt([s for s, n in histogram.items() for _ in range(n)], shards)
+        mine = defaultdict(lambda: defaultdict(int))
+        for size, firsts, taken in lpt(list(histogram.items()), shards):
+            for first, end, s in zip(firsts, [*firsts[1:], histogram[size]], taken, strict=True):
+                assert end > first
+                mine[s][size] += end - first
+        assert mine == got
+
+
+def test_shards_against_a_plain_schedule(spark):
+    rng = random.Random(4)
+    texts = ["x" * rng.randint(0, 40) + str(rng.randint(0, 3)) for _ in range(400)] + ["hot"] * 150 + [None] * 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = shard_rows(frame, 6).collect()
+    verify(rows, list(enumerate(texts)), 6)
+    groups = defaultdict(int)
+    for t in texts:
+        groups[t] += len((t or "").encode()) + 16
+    heap, _ = plain_lpt(list(groups.values()), 6)
+    load = defaultdict(int)
+    for r in rows:
+        load[r.shard] += r.size
+    assert sorted((n, s) for s, n in load.items()) == heap
+
+
+def test_rows_of_one_id_are_numbered_by_many_tasks(spark):
+    frame = spark.createDataFrame([(None, f"t{i % 50}") for i in range(3000)], "doc_id long, text string")
+    rows = shard_rows(frame, 4, slice_rows=10).collect()
+    assert {(r.shard, r.slot) for r in rows} == {(s, i) for s in range(4) for i in range(sum(r.shard == s for r in rows))} and len(rows) == 3000
