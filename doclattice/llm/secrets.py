@@ -1,17 +1,21 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 A document's candidates are the base matches (assign, access, hex) and, as the method's own kind, `opaque`:
-runs of 20 or more key-like characters that mix digits with both letter cases. Each candidate's value is hashed;
-grouped counts of the distinct repositories and owners that hold a hash separate examples that many
-owners copy from values that one owner holds alone. Base matches are always reported, with their class; an
-opaque run is reported only if it belongs to one owner.
+runs of 20 or more key-like characters that mix digits with both letter cases. Each candidate's value is hashed, and only the
+hash is written or shuffled. Grouped counts of the distinct repositories and owners that hold a hash decide its class:
+
+- copied: COPIED_OWNERS owners or more, or COPIED_REPOS repositories or more, hold it: a widely copied example;
+- owned: it isn't copied, and looks live: DISTINCT different characters at least, and none of the words of placeholders;
+- weak: neither.
+
+Base matches are always reported, whatever their class; an opaque run is reported only if it is owned.
 
 Positions come from the pieces between matches: split() and regexp_extract_all() walk the same matches, so
 a match starts after all pieces and matches before it. Counts are distinct before they are shuffled, and only
 candidates travel, never texts; a value that a third of all rows hold is one row for each of its owners.
 
-Result: one row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned (values of one
-owner), n_copied (values that several owners hold). A null text is empty. A null source is an owner of its own.
+Result: one row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_copied, n_weak (reported spans
+of each class). A null text is empty. A null source is an owner of its own.
 Repeated rows have the same result each. Extra columns are ignored. An empty table gives no rows.
 """
 
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doclattice.session import materialize
@@ -30,27 +34,39 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[a-z0-9+/_=-]*[A-Z])(?=[A-Z0-9+/_=-]*[a-z])[A-Za-z0-9+/_=-]{20,}+"
 KINDS = ("assign", "access", "hex", "opaque")
+CLASSES = ("owned", "copied", "weak")
 ASSIGN_VALUE = 6
-#: A value is an example if at least this many owners hold it.
-COPIED_OWNERS = 2
+#: A value is an example if at least so many owners, or so many repositories, hold it.
+COPIED_OWNERS, COPIED_REPOS = 2, 4
+#: A live-looking value has so many different characters, and none of these words.
+DISTINCT = 6
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|change_me|your[_-]?|xxxx|redacted|test[_-]?key|foobar|qwerty|123456"
 #: Matches of a text that one fold adds up; a text has any number of such runs.
 RUN = 256
 
 
-def _matches(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
-    """Array of (at, end, kind, value) of the leftmost non-overlapping matches, offsets in code points."""
+#: What is kept of a match. hash stands for its value, live tells whether the value looks so.
+SPAN = "array<struct<at:int,rank:int,end:int,kind:string,hash:binary,live:boolean>>"
+
+
+def _looks_live(value: Column) -> Column:
+    return (F.size(F.array_distinct(F.split(value, ""))) >= DISTINCT) & ~F.rlike(value, F.lit(PLACEHOLDER))
+
+
+def _matches(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
+    """Array of SPAN of the leftmost non-overlapping matches whose value (a group of the pattern) has the least length, offsets in code points."""
     order = KINDS.index(kind)
-    empty = F.array().cast("array<struct<at:int,rank:int,end:int,kind:string,value:string>>")
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    empty = F.array().cast(SPAN)
     pieces = F.split(text, pattern, -1)
-    triples = F.arrays_zip(pieces.alias("before"), whole.alias("match"), value.alias("value"))
+    triples = F.arrays_zip(pieces.alias("before"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["pos"] + F.length(x["before"])
         end = at + F.coalesce(F.length(x["match"]), F.lit(0))
-        one = F.struct(at.cast("int").alias("at"), F.lit(order).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
-        return F.struct(end.cast("int").alias("pos"), F.when(x["match"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(one))).alias("found"))
+        value = F.regexp_extract(x["match"], pattern, group) if group else x["match"]
+        one = _bound(value, lambda v: F.struct(at.cast("int").alias("at"), F.lit(order).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), F.unhex(F.sha2(v, 256)).alias("hash"), _looks_live(v).alias("live")))
+        kept = x["match"].isNotNull() if not least else x["match"].isNotNull() & (F.length(value) >= least)
+        return F.struct(end.cast("int").alias("pos"), F.when(kept, F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"))
 
     # Runs of RUN matches: where each run starts, then the matches within it. One fold over all would copy what it has found with each match.
     def runs(all_triples: Column) -> Column:
@@ -79,7 +95,7 @@ def _joined(spans: Column) -> Column:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """key, doc_id, owner, repo, base (array) and opaque (array) of each row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = F.concat(F.filter(_matches(text, ASSIGN, "assign", 2), lambda m: F.length(m["value"]) >= ASSIGN_VALUE), _matches(text, ACCESS, "access"), _matches(text, HEX, "hex"))
+    base = F.concat(_matches(text, ASSIGN, "assign", 2, ASSIGN_VALUE), _matches(text, ACCESS, "access"), _matches(text, HEX, "hex"))
     repo = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in repo_cols])
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -96,53 +112,53 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def classified(found: DataFrame) -> DataFrame:
-    """Candidates one a row (key, span, owners, repos), with how many own the value."""
+    """Reported candidates one a row: key, span, class."""
     each = found.select("key", "owner", "repo", F.explode(F.concat("base", "opaque")).alias("span"))
-    each = each.select("key", "owner", "repo", "span", F.sha2("span.value", 256).alias("value_hash"))
-    held = each.select("value_hash", "owner", "repo").distinct().groupBy("value_hash").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repos"))
-    return each.join(held, "value_hash").select("key", "span", "owners", "repos").distinct()
-
-
-def secret_spans(docs: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
-    """Rows with their base matches, and per key what is reported (array of span with owners)."""
-    found = materialize(candidates(docs, **columns), "secrets")
-    shown = classified(found).where((F.col("span.kind") != "opaque") | (F.col("owners") < COPIED_OWNERS))
-    spans = shown.groupBy("key").agg(
-        F.collect_set("span").alias("reported"),
-        F.count_if(F.col("owners") < COPIED_OWNERS).alias("n_owned"),
-        F.count_if(F.col("owners") >= COPIED_OWNERS).alias("n_copied"),
-    )
-    return found, spans
+    held = each.select("span.hash", "owner", "repo").distinct().groupBy("hash").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repos"))
+    kind = F.when((F.col("owners") >= COPIED_OWNERS) | (F.col("repos") >= COPIED_REPOS), "copied").when(F.col("span.live"), "owned").otherwise("weak")
+    named = each.withColumn("hash", F.col("span.hash")).join(held, "hash").select("key", "span", kind.alias("class")).distinct()
+    return named.where((F.col("span.kind") != "opaque") | (F.col("class") == "owned"))
 
 
 def secret_report(docs: DataFrame, **columns) -> DataFrame:
-    found, spans = secret_spans(docs, **columns)
+    found = materialize(candidates(docs, **columns), "secrets")
+    spans = classified(found).groupBy("key").agg(F.collect_set("span").alias("reported"), *(F.count_if(F.col("class") == c).alias(f"n_{c}") for c in CLASSES))
     count = lambda kind: F.size(F.filter("base", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.join(spans, "key", "left").select(
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         F.coalesce(_joined(F.col("reported")), F.lit("")).alias("spans"),
-        F.coalesce("n_owned", F.lit(0)).alias("n_owned"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+        *(F.coalesce(f"n_{c}", F.lit(0)).alias(f"n_{c}") for c in CLASSES),
     )
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """docs with every reported span replaced by [SECRET] (one owner) or [EXAMPLE] (copied); all columns and rows stay."""
+    """docs with every reported span replaced by [EXAMPLE] (copied) or [SECRET]; all columns and rows stay. Spans that overlap become one mark.
+
+    Marks are taken in runs of RUN: a run's part of the text is cut out once, its pieces from that part, so a long text with many
+    spans is copied a few times and not once for each."""
     found = materialize(candidates(docs), "secrets")
-    shown = classified(found).where((F.col("span.kind") != "opaque") | (F.col("owners") < COPIED_OWNERS))
-    marks = shown.groupBy("key").agg(F.array_sort(F.collect_set(F.struct(F.col("span.at").alias("at"), F.col("span.end").alias("end"), (F.col("owners") < COPIED_OWNERS).alias("own")))).alias("marks"))
+    at = Window.partitionBy("key").orderBy("at", "end", "own")
+    # A window holds one text's spans.
+    shown = classified(found).select("key", F.col("span.at").alias("at"), F.col("span.end").alias("end"), (F.col("class") != "copied").alias("own")).distinct()
+    shown = shown.withColumn("upto", F.max("end").over(at)).withColumn("prev", F.coalesce(F.lag("upto").over(at), F.lit(0)))
+    marks = shown.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "end", "own", "prev", "upto"))).alias("marks"))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"), F.xxhash64(F.lit(7), F.col("text")).cast("string"))
-    keyed = docs.withColumn("__key", key).join(marks.withColumnRenamed("key", "__key"), "__key", "left")
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+    keyed = docs.withColumn("__key", key).join(marks.select(F.col("key").alias("__key"), F.col("marks").alias("__marks")), "__key", "left")
+    text, all_marks = F.col("text"), F.col("__marks")
+
+    def piece(part: Column, start: Column, m: Column) -> Column:
+        label = F.when(m["at"] < m["prev"], F.lit("")).otherwise(F.when(m["own"], F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]")))
+        return F.concat(F.substring(part, m["prev"] - start + 1, F.greatest(m["at"] - m["prev"], F.lit(0))), label)
 
-    def step(acc: Column, m: Column) -> Column:
-        # Overlapping spans become one mark.
-        label = F.when(m["at"] < acc["pos"], F.lit("")).otherwise(F.when(m["own"], F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]")))
-        between = F.substring(F.col("text"), acc["pos"] + 1, F.greatest(m["at"] - acc["pos"], F.lit(0)))
-        return F.struct(F.greatest(acc["pos"], m["end"]).alias("pos"), F.concat(acc["out"], between, label).alias("out"))
+    def run(marks: Column) -> Column:
+        start, stop = F.get(marks, F.lit(0))["prev"], F.element_at(marks, -1)["upto"]
+        return _bound(F.substring(text, start + 1, stop - start), lambda part: F.array_join(F.transform(marks, lambda m: piece(part, start, m)), ""))
 
-    clean = F.aggregate("marks", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["pos"] + 1, F.length("text"))))
-    return keyed.withColumn("text", F.when(F.col("marks").isNull(), F.col("text")).otherwise(clean)).select(*docs.columns)
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_marks) - 1) / RUN).cast("int")), lambda g: F.slice(all_marks, g * RUN + 1, F.lit(RUN)))
+    rest = F.substring(text, F.element_at(all_marks, -1)["upto"] + 1, F.length(text))
+    clean = F.concat(F.array_join(F.transform(runs, run), ""), rest)
+    return keyed.withColumn("text", F.when(all_marks.isNull(), text).otherwise(clean)).select(*docs.columns)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from doclattice.llm.secrets import op2, redacted, secret_report
 
@@ -44,6 +45,50 @@ def test_small_cases(spark):
     assert secret_report(docs.limit(0)).collect() == []
 
 
+OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]+")
+PLACEHOLDER = re.compile("example|sample|dummy|placeholder|changeme|change_me|your[_-]?|xxxx|redacted|test[_-]?key|foobar|qwerty|123456", re.I)
+
+
+def plain_report(docs):
+    """(doc_id, spans, n_owned, n_copied, n_weak) by dictionaries."""
+    found = []
+    for i, text, owner, lang in docs:
+        text = text or ""
+        base = [("assign", 0, *m.span(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        base += [("access", 1, *m.span(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        base += [("hex", 2, *m.span(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        runs = [m for m in OPAQUE.finditer(text) if len(m[0]) >= 20 and re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])]
+        own = [("opaque", 3, *m.span(), m[0]) for m in runs if not any(b[2] < m.end() and m.start() < b[3] for b in base)]
+        found.append((i, owner, (owner, lang), base + own))
+    owners, repos = {}, {}
+    for _, owner, repo, spans in found:
+        for *_, value in spans:
+            owners.setdefault(value, set()).add(owner)
+            repos.setdefault(value, set()).add(repo)
+    kind = lambda v: "copied" if len(owners[v]) > 1 or len(repos[v]) > 3 else "owned" if len(set(v)) >= 6 and not PLACEHOLDER.search(v) else "weak"
+    out = []
+    for i, _, _, spans in found:
+        shown = sorted(((a, r, b, k, kind(v)) for k, r, a, b, v in spans if k != "opaque" or kind(v) == "owned"))
+        out.append((i, ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in shown), *(sum(c == x for *_, c in shown) for x in ("owned", "copied", "weak"))))
+    return sorted(out, key=str)
+
+
+def test_classes_against_dictionaries(spark):
+    docs = DOCS + [(20 + i, f"key_of_one Qq7Zz8Ww9Ee1Rr2Tt3Yy4 secret=solo{i}Pass token=shared99", "one", f"l{i}") for i in range(5)]
+    docs += [(30, "password=changeme99 secret=aaaaaaaa api_key=Ab12Cd34Ef", "solo", "en"), (31, "pad Mm1Nn2Bb3Vv4Cc5Xx6Zz7= end", "solo", "en")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    got = sorted(((r.doc_id, r.spans, r.n_owned, r.n_copied, r.n_weak) for r in secret_report(frame).collect()), key=str)
+    assert got == plain_report(docs)
+
+
+def test_many_spans_are_redacted_in_time(spark):
+    text = "secret=abcdef7 and " * 20_000
+    docs = spark.createDataFrame([(1, text, "a", "en")], "doc_id long, text string, source string, lang string")
+    began = time.time()
+    assert redacted(docs).first().text == "[SECRET] and " * 20_000
+    assert time.time() - began < 60
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(*d, "x") for d in DOCS], "doc_id long, text string, source string, lang string, spans string")
     out = redacted(docs)
