@@ -8,7 +8,8 @@ the normalised text of a chunk is cut into lanes that step together.
 
 Benchmark texts are broadcast in blocks of at most block_bytes, whatever the size of the table: each
 block is one narrow pass over the documents that adds to what the passes before it found, so there is no
-shuffle and no bound on the benchmark.
+shuffle and no bound on the benchmark. At most CHAIN passes run in one stage, each a Python worker with the tables of one block;
+then the rows and what was found are written, the blocks are unpersisted, and the next passes read them.
 
 Result: one row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. A null or
 word-less text has 0 words and isn't contaminated; null and word-less items have no windows; an item_id
@@ -19,6 +20,7 @@ each. Extra columns are ignored. Empty tables give no rows, or rows without hits
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,12 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from doclattice.session import short_batches
+from doclattice.session import drop_materialized, materialize, short_batches
 
 #: Words of a window.
 WINDOW = 13
 #: Bytes of benchmark text that a broadcast block holds; one larger item makes a block of its own.
 BLOCK_BYTES = 8 << 20
+#: Blocks that one stage takes.
+CHAIN = 4
 #: Bytes of normalised text that are searched at once, and of a lane.
 CHUNK, LANE = 1 << 20, 2048
 #: Words of up to this many bytes a pattern go to classes of their own, so that a short one doesn't shorten all shifts.
@@ -182,9 +186,20 @@ def is_contaminated(hit: int, words: int) -> bool:
     return hit > 0 and 20 * hit >= words
 
 
-def _pass(shared, own: list[str], first: bool, last: bool, report: bool, k: int):
+#: The search tables of the block that this worker had last; tasks that follow each other in a worker share them.
+_LAST: dict[str, Benchmark] = {}
+
+
+def _tables(shared, name: str, k: int) -> Benchmark:
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Benchmark.of(shared.value, k)
+    return _LAST[name]
+
+
+def _pass(shared, name: str, own: list[str], first: bool, last: bool, report: bool, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Benchmark.of(shared.value, k)
+        machine = _tables(shared, name, k)
         for batch in batches:
             words = [normal_words(t) for t in batch.column("text").to_pylist()]
             found = machine.find([b" " + b" ".join(w) + b" " if w else b"" for w in words]) if machine.machines else [([], set())] * len(words)
@@ -216,10 +231,18 @@ def _passes(rows: DataFrame, benchmark: DataFrame, report: bool, k: int, block_b
     short_batches(spark)
     between, end = StructType([*schema, *_parse_datatype_string(STATE)]), REPORT if report else schema
     blocks = benchmark_blocks(benchmark.select("item_id", "text"), block_bytes)
-    block, first = next(blocks), True
+    block, first, held, written = next(blocks), True, [], None
     while block is not None:
         after = next(blocks, None)
-        rows = rows.mapInArrow(_pass(spark.sparkContext.broadcast(block), schema.names, first, after is None, report, k), end if after is None else between)
+        held.append(spark.sparkContext.broadcast(block))
+        rows = rows.mapInArrow(_pass(held[-1], uuid.uuid4().hex, schema.names, first, after is None, report, k), end if after is None else between)
+        if after is not None and len(held) == CHAIN:
+            rows = materialize(rows, "searched")
+            if written is not None:
+                drop_materialized(written)
+            for x in held:
+                x.destroy()
+            held, written = [], rows
         block, first = after, False
     return rows
 
