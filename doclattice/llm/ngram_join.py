@@ -1,14 +1,17 @@
 """N-gram Jaccard join: grouped prefix join over word shingles.
 
-1. Every whole text becomes its set of distinct k-word shingles, in one order that all documents share:
-   shingles that are frequent in the corpus (heavy.py) come last, by count, the others by hash.
+1. Every whole text becomes its set of distinct k-word shingles, in one order that all documents share: by hash first, then
+   those that too many prefixes would post (demoted), then those that are frequent in the corpus (heavy.py), by count. What is
+   demoted is a bitmap of DEMOTED_BITS that counts over all prefixes fill, so it is broadcast at any size of the corpus. Any bitmap
+   gives an order, so results don't depend on it; posting lists of more than HOT groups remain only of texts that consist
+   of demoted shingles for the most part, as a passage that many texts quote is behind the prefix of all others.
 2. Documents of equal sets collapse into one class. Classes of equal size and equal prefix collapse into
    one group, which posts the prefix's shingles once.
 3. Group pairs that share a posting are filtered by size and by the shingles' positions. First each
    shingle's pivot group (the one that has it earliest) is compared with the other groups there: a star,
    linear in the postings. Links that verification confirms merge documents into components. Only then
    are the pairs between different components made, so a family of near copies costs a star and not its
-   square.
+   square; such pairs meet by shingle and class of size, so that sizes which can't link don't meet.
 4. Surviving group pairs expand to members, and the members' whole texts are compared exactly.
 
 Result: one row per document: doc_id, n_shingles, component_id. A null text has no words; a document
@@ -19,6 +22,7 @@ are returned as their own component (null). Extra columns are ignored. An empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +34,15 @@ from pyspark.sql import functions as F
 from doclattice.llm.components import connected_components
 from doclattice.llm.heavy import heavy_hitters
 from doclattice.llm.textkit import U64, Alphabet, Words, mix, words
-from doclattice.session import materialize, short_batches
+from doclattice.session import drop_materialized, materialize, short_batches
 
 WORDS = Alphabet(lower=True)
 TOP = U64(1 << 63)
+#: Bits of the table of demoted shingles (8 MB), and where they begin in the order.
+DEMOTED_BITS = 1 << 26
+BACK = U64(1 << 62)
+#: A shingle of more postings is demoted; more, where that many shingles would fill over half of the bits.
+HOT = 256
 
 
 @dataclass(frozen=True)
@@ -67,9 +76,12 @@ def distinct_sorted(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
     return keys[new], doc[new]
 
 
-def _ordered(keys: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Keys in the shared order as numbers: light ones below 2**63 by hash, heavy ones above by rank."""
-    out = keys >> U64(1)
+def _ordered(keys: np.ndarray, heavy: np.ndarray, rank: np.ndarray, demoted: np.ndarray | None) -> np.ndarray:
+    """Keys in the shared order as numbers: light ones below 2**62 by hash, demoted ones from there, heavy ones from 2**63 by rank."""
+    out = keys >> U64(2)
+    if demoted is not None:
+        place = out & U64(DEMOTED_BITS - 1)
+        out = out | (demoted[place >> U64(6)] >> (place & U64(63)) & U64(1)) * BACK
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, keys), len(heavy) - 1)
         hit = heavy[at] == keys
@@ -77,12 +89,29 @@ def _ordered(keys: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarra
     return out
 
 
-def _profiles(k: int, limit: Threshold, heavy: np.ndarray, rank: np.ndarray):
+def demoted_shingles(prefixes: DataFrame, hot: int = HOT) -> np.ndarray | None:
+    """The bitmap, as 64-bit words, of the light shingles that more than hot prefixes hold; none if there is no such shingle."""
+    light = prefixes.select(F.explode("prefix").alias("shingle")).where("shingle >= 0").groupBy("shingle").agg(F.count("*").alias("n"))
+    light = light.where("n > 1")
+    total = light.agg(F.sum("n")).first()[0] or 0
+    word, bit = F.expr(f"shiftright(shingle & {DEMOTED_BITS - 1}L, 6)"), F.expr("shiftleft(1L, cast(shingle & 63L as int))")
+    # DEMOTED_BITS / 64 rows at most.
+    words64 = light.where(F.col("n") > max(hot, 2 * total // DEMOTED_BITS)).select(word.alias("word"), bit.alias("bit"))
+    rows = words64.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    if not len(rows):
+        return None
+    out = np.zeros(DEMOTED_BITS // 64, U64)
+    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(U64)
+    return out
+
+
+def _profiles(k: int, limit: Threshold, heavy: np.ndarray, rank: np.ndarray, shared=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        demoted = None if shared is None else shared.value
         for batch in batches:
             for w in words(batch.column("text"), WORDS):
                 keys, doc = shingles(w, k)
-                keys, doc = distinct_sorted(_ordered(keys, heavy, rank), doc)
+                keys, doc = distinct_sorted(_ordered(keys, heavy, rank, demoted), doc)
                 n = np.bincount(doc, minlength=w.rows)
                 ends = np.cumsum(n)
                 starts = ends - n
@@ -158,7 +187,10 @@ def _could_link(limit: Threshold, n1: str, p1: str, n2: str, p2: str) -> Column:
     return _sizes(limit, n1, n2) & (F.col(p1) <= a - least) & (F.col(p2) <= b - least)
 
 
-def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+PROFILE = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
+
+
+def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -170,7 +202,11 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     heavy, count, _ = heavy_hitters(docs, "text", occurrences)
     rank = np.empty(len(heavy), np.uint64)
     rank[np.lexsort((heavy, count))] = np.arange(len(heavy), dtype=np.uint64)
-    profiles = materialize(docs.mapInArrow(_profiles(k, limit, heavy, rank), "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "profiles")
+    profiles = materialize(docs.mapInArrow(_profiles(k, limit, heavy, rank), PROFILE), "profiles")
+    demoted = demoted_shingles(profiles, hot)
+    if demoted is not None:
+        drop_materialized(profiles)
+        profiles = materialize(docs.mapInArrow(_profiles(k, limit, heavy, rank, docs.sparkSession.sparkContext.broadcast(demoted)), PROFILE), "profiles")
 
     # Classes: documents of equal sets. rep is the smallest doc_id among them.
     ids = profiles.where("n > 0 and doc_id is not null").select("doc_id", "n", "s1", "s2")
@@ -216,16 +252,23 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     labelled = materialize(labelled, "labelled")
     spread = labelled.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("shingle")
     mixed = materialize(labelled.join(spread, "shingle", "left_semi"), "mixed")
-    right = mixed.select("shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    # Sizes that can link are of one class or of neighbouring ones; the smaller class looks for its own and the next.
+    mixed = mixed.withColumn("class", F.floor(F.log("n") / (1.001 * math.log(limit.den / limit.num))).cast("int") if limit.num < limit.den else F.col("n"))
+    right = mixed.select(
+        "shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
+        F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"),
+    )
     apart = F.least("lo", "lo2") < F.greatest("hi", "hi2")
+    once = (F.col("own") > F.col("class")) | (F.col("gid") < F.col("other"))
     # All shared shingles of a pair are counted, those too that the position filter would refuse as the first one.
     cross = (
-        mixed.join(right, "shingle").where((F.col("gid") < F.col("other")) & apart & _sizes(limit, "n", "m"))
-        .groupBy(F.col("gid").alias("a"), F.col("other").alias("b"), "n", "m").agg(F.count("*").alias("common"), F.min("pos").alias("pos"), F.min("at").alias("at"))
+        mixed.join(right, ["shingle", "class"]).where(once & apart & _sizes(limit, "n", "m"))
+        .groupBy("gid", "other", "n", "m").agg(F.count("*").alias("common"), F.min("pos").alias("pos"), F.min("at").alias("at"))
     )
     # Count filter: what the prefixes don't share must be made up for by what comes after them.
     longest = F.ceil(F.greatest("n", "m") * limit.num / limit.den) - 1
-    cross = cross.where(_could_link(limit, "n", "pos", "m", "at") & (F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m")))).select("a", "b")
+    cross = cross.where(_could_link(limit, "n", "pos", "m", "at") & (F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m"))))
+    cross = cross.select(F.least("gid", "other").alias("a"), F.greatest("gid", "other").alias("b"))
     # Stars have compared all members of their pairs; of the other pairs, members of one component need no comparison.
     rest = _expand(cross.join(star, ["a", "b"], "left_anti"), members)
     one, two = (label.select(F.col("member").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")

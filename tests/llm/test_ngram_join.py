@@ -7,7 +7,7 @@ import pytest
 
 from doclattice.llm.components import connected_components
 from doclattice.llm.heavy import HEAVY_MAX, heavy_hitters
-from doclattice.llm.ngram_join import WORDS, Threshold, ngram_components, shingles
+from doclattice.llm.ngram_join import HOT, WORDS, Threshold, ngram_components, shingles
 from doclattice.llm.textkit import Alphabet, words
 
 
@@ -55,8 +55,8 @@ def test_odd_rows(spark):
     assert ngram_components(frame.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize(("k", "num"), [(4, 85), (5, 80)])
-def test_families_chains_and_shared_passages(spark, k, num):
+@pytest.mark.parametrize(("k", "num", "hot"), [(4, 85, HOT), (5, 80, HOT), (4, 85, 5), (5, 80, 1)])
+def test_families_chains_and_shared_passages(spark, k, num, hot):
     rng = random.Random(17)
     texts = near_copies(rng, 150, 60, 3) + near_copies(rng, 40, 25, 2)
     passage = " ".join(f"p{i}" for i in range(50))
@@ -65,7 +65,7 @@ def test_families_chains_and_shared_passages(spark, k, num):
     texts += [" ".join(chain[i : i + 60]) for i in range(0, 20, 2)]
     rng.shuffle(texts)
     docs = list(enumerate(texts))
-    got = sorted(map(tuple, ngram_components(spark.createDataFrame(docs, "doc_id long, text string"), k, Threshold(num, 100)).collect()), key=str)
+    got = sorted(map(tuple, ngram_components(spark.createDataFrame(docs, "doc_id long, text string"), k, Threshold(num, 100), hot=hot).collect()), key=str)
     assert got == brute(docs, k, num)
 
 
@@ -88,7 +88,7 @@ def test_heavy_counts(spark):
     assert total == 800 and len(keys) < HEAVY_MAX and counts[np.searchsorted(keys, common)] >= 400 - 4
 
 
-def families_agree(spark, families, k=4, num=85):
+def families_agree(spark, families, k=4, num=85, hot=HOT):
     """Families share no words, so brute force takes each by itself."""
     docs, want, first = [], [], 0
     for texts in families:
@@ -96,7 +96,7 @@ def families_agree(spark, families, k=4, num=85):
         first += len(texts)
         docs += family
         want += brute(family, k, num)
-    got = map(tuple, ngram_components(spark.createDataFrame(docs, "doc_id long, text string"), k, Threshold(num, 100)).collect())
+    got = map(tuple, ngram_components(spark.createDataFrame(docs, "doc_id long, text string"), k, Threshold(num, 100), hot=hot).collect())
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
@@ -127,3 +127,30 @@ def test_a_member_that_its_group_does_not_hold_links_with_another_group(spark):
     got = {r.doc_id: r.component_id for r in ngram_components(frame, 1).collect()}
     assert [got[i] for i in (10, 11, 12, 13)] == [10] * 4
     assert got == {d: c for d, _, c in brute(docs, 1)}
+
+
+def test_quoted_single_shingles_undo_no_link(spark):
+    """Two texts that link, and short texts that each quote one shared shingle."""
+    x, y = ([f"w{i}" for i in range(95)] + [f"{c}{i}" for i in range(8)] for c in "ab")
+    docs = [(1, " ".join(x)), (2, " ".join(y))] + [(3 + i, " ".join(x[i : i + 4])) for i in range(92)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = {r.doc_id: r.component_id for r in ngram_components(frame).collect()}
+    assert got[1] == got[2] == 1 and got == {d: c for d, _, c in brute(docs)}
+
+
+@pytest.mark.parametrize(("num", "hot"), [(80, HOT), (85, 2)])
+def test_random_families_with_quotes(spark, num, hot):
+    rng, families = random.Random(num), []
+    for f in range(25):
+        base = [f"f{f}w{i}" for i in range(rng.randint(20, 110))]
+        family = []
+        for _ in range(rng.randint(2, 6)):
+            cut = rng.randint(0, len(base) // 6)
+            text = base[: len(base) - cut]
+            for _ in range(rng.randint(0, 2)):
+                text[rng.randrange(len(text))] = f"f{f}x{rng.randrange(10**6)}"
+            family.append(text)
+        family += [base[i : i + 4] for i in rng.sample(range(len(base) - 4), min(15, len(base) - 4))]
+        rng.shuffle(family)
+        families.append([" ".join(words) for words in family])
+    families_agree(spark, families, 4, num, hot)
