@@ -32,13 +32,13 @@ def _fold(parts: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -> tupl
     return both[total > 0], total[total > 0]
 
 
-def heavy_hitters(docs: DataFrame, text: str, occurrences: Callable[[pa.Array], Iterator[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of the frequent n-grams in ascending order, their counts, and N. occurrences yields arrays of hashes for a column."""
+def heavy_hitters(docs: DataFrame, columns: list[str], occurrences: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the frequent n-grams in ascending order, their counts, and N. occurrences yields arrays of hashes for a batch of the columns."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, parts, held, n = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0, 0
         for batch in batches:
-            for found in occurrences(batch.column(0)):
+            for found in occurrences(batch):
                 parts.append(found)
                 held += len(found)
                 n += len(found)
@@ -49,7 +49,7 @@ def heavy_hitters(docs: DataFrame, text: str, occurrences: Callable[[pa.Array],
             keys, counts = _fold(parts, keys, counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, np.uint64(0)).view(np.int64)), pa.array(np.append(counts, 0)), pa.array(np.append(np.zeros(len(keys), np.int64), n))], ["key", "n", "seen"])
 
-    sums = docs.select(text).mapInArrow(count, "key long, n long, seen long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    sums = docs.select(*columns).mapInArrow(count, "key long, n long, seen long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     # The total sits in one row; with it the bound N/K is applied before anything reaches the driver.
     sums = materialize(sums, "heavy", small=True)
     total = sums.agg(F.sum("seen")).first()[0] or 0

@@ -195,11 +195,11 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     short_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def occurrences(column: pa.Array) -> Iterator[np.ndarray]:
-        for w in words(column, WORDS):
+    def occurrences(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for w in words(batch.column("text"), WORDS):
             yield shingles(w, k)[0]
 
-    heavy, count, _ = heavy_hitters(docs, "text", occurrences)
+    heavy, count, _ = heavy_hitters(docs, ["text"], occurrences)
     rank = np.empty(len(heavy), np.uint64)
     rank[np.lexsort((heavy, count))] = np.arange(len(heavy), dtype=np.uint64)
     profiles = materialize(docs.mapInArrow(_profiles(k, limit, heavy, rank), PROFILE), "profiles")

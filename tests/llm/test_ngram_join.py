@@ -79,11 +79,11 @@ def test_components_of_a_long_path_and_a_hub(spark):
 def test_heavy_counts(spark):
     docs = spark.createDataFrame([(f"common {i}",) for i in range(400)], "text string").repartition(4)
 
-    def one(column):
-        for w in words(column, Alphabet()):
+    def one(batch):
+        for w in words(batch.column("text"), Alphabet()):
             yield w.hashes
 
-    keys, counts, total = heavy_hitters(docs, "text", one)
+    keys, counts, total = heavy_hitters(docs, ["text"], one)
     common = next(words(pa.array(["common"]), Alphabet())).hashes[0]
     assert total == 800 and len(keys) < HEAVY_MAX and counts[np.searchsorted(keys, common)] >= 400 - 4
 

@@ -1,6 +1,12 @@
 import hashlib
+import random
 
-from doclattice.llm.substring import op7, substring_dedup
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from doclattice.llm import heavy, substring
+from doclattice.llm.substring import Edges, _compact, _pack, _unpack, op7, path_heads, substring_dedup
 
 
 def brute(docs, k=13):
@@ -48,6 +54,53 @@ def test_small_cases(spark):
     assert substring_dedup(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("heavy_max", [1, 40, 1 << 17])
+def test_random_corpora(spark, monkeypatch, heavy_max):
+    """Passages that texts share in full and in part, branches, repeated ids; all edges light, some or all heavy."""
+    monkeypatch.setattr(heavy, "HEAVY_MAX", heavy_max)
+    rng = random.Random(heavy_max)
+    passages = [[f"p{p}w{rng.randrange(30)}" for _ in range(rng.randint(13, 70))] for p in range(12)]
+    docs = []
+    for _ in range(150):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            p = rng.choice(passages)
+            a = rng.randrange(len(p))
+            text += p[a : a + rng.randint(5, 70)] + [f"r{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 15]))]
+        docs.append((rng.choice([None, rng.randrange(100), rng.randrange(100)]), " ".join(text)))
+    docs += [(500, " ".join(passages[0]))] * 2 + [(501, " ".join(passages[0] + passages[1])), (501, " ".join(passages[1] + passages[0]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, substring_dedup(frame, asked_at_once=3).collect()), key=str) == brute(docs)
+    assert sorted(map(tuple, substring_dedup(frame, 5).collect()), key=str) == brute(docs, 5)
+
+
+def edges_of(texts):
+    parts = [(np.array([hash(x) % 2**62 for x in t], np.uint64), i) for i, t in enumerate(texts)]
+    return Edges.concat([Edges(n[:-1], n[1:], np.full(len(n) - 1, i), np.full(len(n) - 1, 7, np.int32), np.arange(len(n) - 1)) for n, i in parts])
+
+
+def test_packed_edges_and_parts_of_a_bucket(monkeypatch):
+    edges = edges_of([[1, 2, 3, 4, 5], [9, 2, 3, 4, 8], [3, 4, 5, 2, 3]])
+    bucket = np.array([0, 0, 1, 1] * 3, np.int32)
+    back = Edges.concat([_unpack(blob) for _, blob in _pack(edges, bucket)])
+    assert sorted(zip(*(getattr(back, c).tolist() for c in ("left", "right", "doc", "row", "pos")))) == sorted(zip(*(getattr(edges, c).tolist() for c in ("left", "right", "doc", "row", "pos"))))
+    blobs = [blob for _, blob in _pack(edges, np.zeros(12, np.int32))]
+    table = pa.table({"bucket": pa.array([0], pa.int32()), "edges": pa.array(blobs, pa.binary()), "walks": pa.array([None], pa.binary())})
+    whole = _compact(table).filter(pa.compute.equal(_compact(table)["kind"], 0)).to_pylist()
+    monkeypatch.setattr(substring, "SPLIT", 3)
+    parts = _compact(table)
+    assert sorted(map(str, parts.filter(pa.compute.equal(parts["kind"], 0)).to_pylist())) == sorted(map(str, whole)) and len(whole) == 3
+    steps = [(r["doc_id"], r["start"] + i, r["source"], r["at"] + i) for r in parts.to_pylist() if r["kind"] for i in range(r["len"])]
+    assert sorted(steps) == [(1, 1, 0, 1), (1, 2, 0, 2), (2, 0, 0, 2), (2, 1, 0, 3), (2, 3, 0, 1)]
+
+
+def test_paths_end_where_nodes_branch(spark):
+    # 1-2-3-4 of source 0, 3-9 of source 5: node 3 has two edges out. 20-21-22 goes on in one source, 30-31-32 changes sources.
+    rows = [(1, 2, 0, 1, 0), (2, 3, 0, 1, 1), (3, 4, 0, 1, 2), (3, 9, 5, 1, 7), (20, 21, 0, 1, 50), (21, 22, 0, 1, 51), (30, 31, 0, 1, 70), (31, 32, 2, 1, 71)]
+    heads = path_heads(spark.createDataFrame(rows, "left long, right long, source long, srow int, at int")).collect()
+    assert sorted((h.source, h.at) for h in heads) == [(0, 0), (0, 2), (0, 50), (0, 70), (2, 71), (5, 7)]
+
+
 def test_whole_table(spark):
     d = "/root/testdata/sf0.01"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
