@@ -46,9 +46,9 @@ WINDOW = 13
 #: Words of the sub-runs whose smallest hash deals out a window.
 MINIMIZER = 6
 #: Windows that a bucket holds on average, and that are compacted at once.
-BUCKET_WINDOWS, SPLIT = 1_000_000, 2_000_000
+BUCKET_WINDOWS, SPLIT = 500_000, 1_000_000
 #: Windows that a task gathers before it sends them: then a stretch's header is small beside its hashes.
-SEND_AT = 1_000_000
+SEND_AT = 500_000
 #: Positions of a block by which walks and heads meet, and spans that one copy of a source's text verifies on average.
 POSITIONS, ASKED = 16, 10_000
 
@@ -323,19 +323,21 @@ def _compact(bucket: pa.Table) -> pa.Table:
 
 
 def path_heads(edges: DataFrame) -> DataFrame:
-    """source, srow, at of the repeated edges that begin a compacted path: those that don't leave a node which doesn't branch."""
+    """Heads of compacted paths, a row for each source and block of positions: source, srow, block, heads (positions). A head is a
+    repeated edge that doesn't leave a node which doesn't branch."""
     into = edges.select(F.col("right").alias("node"), "source", "srow", (F.col("at") + 1).alias("at"), F.lit(1).alias("enters"))
     out = edges.select(F.col("left").alias("node"), "source", "srow", "at", F.lit(0).alias("enters"))
     least = [f(c).alias(f"{n}_{c}") for c in ("source", "srow", "at") for n, f in (("lo", F.min), ("hi", F.max))]
     nodes = into.unionByName(out).groupBy("node").agg(F.count("*").alias("edges"), F.sum("enters").alias("entering"), *least)
     through = nodes.where("edges = 2 and entering = 1 and lo_source = hi_source and lo_srow = hi_srow and lo_at = hi_at")
     through = through.select(F.col("lo_source").alias("source"), F.col("lo_srow").alias("srow"), F.col("lo_at").alias("at"))
-    return edges.select("source", "srow", "at").join(through, ["source", "srow", "at"], "left_anti")
+    heads = edges.select("source", "srow", "at").join(through, ["source", "srow", "at"], "left_anti")
+    return heads.groupBy("source", "srow", F.expr(f"at div {POSITIONS}").alias("block")).agg(F.collect_set("at").alias("heads"))
 
 
 def cut_walks(walks: DataFrame, heads: DataFrame) -> DataFrame:
-    """Walks in parts that lie in one block of positions of the source and begin at a head or don't reach one; head tells which."""
-    heads = heads.groupBy("source", "srow", F.expr(f"at div {POSITIONS}").alias("block")).agg(F.collect_set("at").alias("heads"))
+    """Walks in parts that lie in one block of positions of the source and begin at a head or don't reach one; head tells which.
+    heads is a written table, so the join can deal out a source that a large part of all walks have."""
     block = F.explode(F.sequence(F.expr(f"at div {POSITIONS}"), F.expr(f"(at + len - 1) div {POSITIONS}"))).alias("block")
     lo, hi = F.greatest(F.col("at").cast("long"), F.col("block") * POSITIONS), F.least(F.col("at") + F.col("len"), (F.col("block") + 1) * POSITIONS)
     parts = walks.select("*", block).select(*WALK, "block", lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
