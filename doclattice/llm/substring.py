@@ -9,7 +9,7 @@ its last k-1, and two edges are the same if both of their nodes are. Only edges
    the corpus (heavy.py; a bounded table) don't travel: a grouped minimum finds their source, and they join the graph as one
    row each; a document's stretches of them are read off the broadcast table.
 2. Nodes: a grouped count gives each its repeated edges in and out. A node with one of each, whose two edges follow each other in one
-   source, doesn't branch. All edges that don't leave such a node are heads of compacted paths (an anti-join).
+   source, doesn't branch. All edges that don't leave such a node are heads of compacted paths.
 3. Walks: the stretches of repeated edges that a document walks are cut where a path's head is (a join on source and block of
    positions) and glued within paths. What remains are spans: document, start, and the source's coordinates.
 4. A join on the document brings the spans to the whole text, where covered words are removed. Source coordinates verify them: the
@@ -44,7 +44,7 @@ from doclattice.session import drop_materialized, materialize, parallelism, shor
 
 WINDOW = 13
 #: Words of the sub-runs whose smallest hash deals out a window.
-MINIMIZER = 6
+MINIMIZER = 4
 #: Windows that a bucket holds on average, and that are compacted at once.
 BUCKET_WINDOWS, SPLIT = 500_000, 1_000_000
 #: Windows that a task gathers before it sends them: then a stretch's header is small beside its hashes.
@@ -53,15 +53,19 @@ SEND_AT = 500_000
 POSITIONS, ASKED = 16, 10_000
 
 
+#: In place of a minimizer.
+NONE = U64((1 << 64) - 1)
+
+
 def _alphabet(seed: int) -> Alphabet:
     return Alphabet(seed=20240701 + seed)
 
 
-def _minimizers(w: Words, at: np.ndarray, k: int, m: int) -> np.ndarray:
-    """The smallest hash of the m-word runs inside the window of k words that starts at each of at."""
+def _minimizers(w: Words, at: np.ndarray, k: int, m: int, heavy: np.ndarray) -> np.ndarray:
+    """The smallest hash of the m-word runs, frequent ones aside, inside the window of k words that starts at each of at; NONE if all are frequent."""
     grams, where = w.ngrams(m, seed=5)
-    low = np.full(len(w.hashes), np.iinfo(np.uint64).max, U64)
-    low[where] = grams
+    low = np.full(len(w.hashes), NONE, U64)
+    low[where] = np.where(_is_heavy(grams, heavy), NONE, grams)
     span, width, best = k - m + 1, 1, low
     while width * 2 <= span:  # minimum over 2, 4, ... positions
         best = np.minimum(best[: len(best) - width], best[width:])
@@ -251,9 +255,9 @@ def _deal(alphabet: Alphabet, k: int, buckets: int, shared):
                 frequent = _is_heavy(edges.ids(), heavy.keys)
                 walks.append(heavy.walks(edges.take(frequent)))
                 edges, at = edges.take(~frequent), at[~frequent]
-                low = _minimizers(w, at, k, min(MINIMIZER, k))
-                # A sub-run that is frequent in the corpus would gather too much: its windows go by their own hash.
-                key = mix(np.where(_is_heavy(low, heavy.keys), edges.ids(), low), 5) % U64(buckets)
+                low = _minimizers(w, at, k, min(MINIMIZER, k), heavy.keys)
+                # A sub-run that is frequent in the corpus would gather too much; windows without another go by their own hash.
+                key = mix(np.where(low == NONE, edges.ids(), low), 5) % U64(buckets)
                 held.append((edges, key.astype(np.int32)))
                 size += len(at) + len(walks[-1][0])
                 if size >= SEND_AT:
@@ -331,8 +335,13 @@ def path_heads(edges: DataFrame) -> DataFrame:
     nodes = into.unionByName(out).groupBy("node").agg(F.count("*").alias("edges"), F.sum("enters").alias("entering"), *least)
     through = nodes.where("edges = 2 and entering = 1 and lo_source = hi_source and lo_srow = hi_srow and lo_at = hi_at")
     through = through.select(F.col("lo_source").alias("source"), F.col("lo_srow").alias("srow"), F.col("lo_at").alias("at"))
-    heads = edges.select("source", "srow", "at").join(through, ["source", "srow", "at"], "left_anti")
-    return heads.groupBy("source", "srow", F.expr(f"at div {POSITIONS}").alias("block")).agg(F.collect_set("at").alias("heads"))
+    # A bit for each position of a block.
+    bit = F.expr(f"shiftleft(1, cast(at % {POSITIONS} as int))")
+    marks = edges.select("source", "srow", "at", bit.alias("edge"), F.lit(0).alias("inner")).unionByName(through.select("source", "srow", "at", F.lit(0).alias("edge"), bit.alias("inner")))
+    blocks = marks.groupBy("source", "srow", F.expr(f"at div {POSITIONS}").alias("block")).agg(F.bit_or("edge").alias("edge"), F.bit_or("inner").alias("inner"))
+    mask = F.col("edge").bitwiseAND(F.bitwise_not("inner"))
+    places = F.filter(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda i: F.call_function("getbit", mask, i) == 1)
+    return blocks.where(mask != 0).select("source", "srow", "block", F.transform(places, lambda i: (F.col("block") * POSITIONS + i).cast("int")).alias("heads"))
 
 
 def cut_walks(walks: DataFrame, heads: DataFrame) -> DataFrame:
