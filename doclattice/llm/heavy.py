@@ -20,7 +20,7 @@ from doclattice.session import materialize
 #: K above. 2**17 hashes and counts are 2 MB.
 HEAVY_MAX = 1 << 17
 #: Occurrences that a task counts before it folds them into its summary.
-FOLD_AT = 2_000_000
+FOLD_AT = 1_000_000
 
 
 def _fold(parts: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -456,7 +456,7 @@ def _attempt(docs: DataFrame, k: int, seed: int, asked_at_once: int) -> DataFram
 
 def substring_dedup(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", asked_at_once: int = ASKED) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of docs. k is 2 at least."""
-    short_batches(docs.sparkSession)
+    short_batches(docs.sparkSession, 1000)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     for seed in range(4):
         found = _attempt(docs, k, seed, asked_at_once)
