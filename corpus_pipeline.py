@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and reread
 as the next stage's docs. All but the last return the columns of documents, so a stage can be left out or
-repeated. Side tables (labels, benchmark) are read from sf_dir.
+repeated. Side tables (labels, benchmark) are read from sf_dir. A very long text is one row: every stage reads it whole, and none
+holds more than a batch of rows. Empty tables, null ids and texts, and repeated rows are defined by each stage's operator.
 """
 
 from __future__ import annotations
@@ -44,8 +45,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets in their texts are replaced."""
-    return secrets.redacted(docs)
+    """All documents stay; secrets in their texts are replaced, and n_chars follows the text. A null text stays null with its n_chars."""
+    clean = secrets.redacted(docs)
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(clean.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", length)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
