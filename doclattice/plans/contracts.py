@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclattice.operators import contract, rules
+from doclattice.operators import contract, rules, summary
 from doclattice.plans.queries import BOXED, LINES, doc_lines, query
 from doclattice.sources.readers import boxed, table
 
@@ -109,8 +109,8 @@ def awaiting_judgement(s: SparkSession, d: str) -> DataFrame:
     return rules.awaiting_judgement(sections, t.select("conv_id", "section_id", move.alias("move"), steps.alias("steps")), ["conv_id"])
 
 
-@query("page_id_gaps", f"WITH {BOXED}, p AS (SELECT doc_id, list(DISTINCT page) FILTER (page <> 2 OR doc_id % 3 <> 0) AS have, max(page) AS n FROM boxed GROUP BY doc_id) SELECT doc_id, len(list_filter(range(1, n + 1), lambda i: NOT list_contains(have, i)))::BIGINT AS n_missing FROM p WHERE len(list_filter(range(1, n + 1), lambda i: NOT list_contains(have, i))) > 0")
+@query("page_id_gaps", f"WITH {BOXED}, p AS (SELECT doc_id, list(DISTINCT page) FILTER (length(text) >= 60) AS have, max(page) AS n FROM boxed GROUP BY doc_id), m AS (SELECT doc_id, list_filter(range(1, n + 1), lambda i: have IS NULL OR NOT list_contains(have, i)) AS gaps FROM p) SELECT doc_id, len(gaps)::BIGINT AS n_missing FROM m WHERE len(gaps) > 0")
 def page_id_gaps(s: SparkSession, d: str) -> DataFrame:
-    seen = F.collect_set(F.when((F.col("page") != 2) | (F.col("doc_id") % 3 != 0), F.col("page")))
-    pages = boxed(doc_lines(s, d)).groupBy("doc_id").agg(seen.alias("have"), F.max("page").alias("n"))
-    return pages.select("doc_id", F.size(F.array_except(F.sequence(F.lit(1), "n"), "have")).alias("n_missing")).where("n_missing > 0")
+    """Pages without a line of 60 characters or more count as missing."""
+    page = F.when(F.length("text") >= 60, F.col("page"))
+    return summary.missing_pages(boxed(doc_lines(s, d)), ["doc_id"], page, F.col("page")).select("doc_id", F.size("missing").alias("n_missing"))

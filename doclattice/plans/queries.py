@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doclattice.functions import text as T
-from doclattice.operators import agreement, drawings, grid, labeling, layout, requests, rules, targets, tree, validate
+from doclattice.operators import agreement, drawings, grid, labeling, layout, requests, rules, summary, targets, tree, validate
 from doclattice.operators import lines as L
 from doclattice.sources.readers import boxed, leveled, lines, table
 
@@ -94,48 +94,35 @@ def nfc_normalize(s: SparkSession, d: str) -> DataFrame:
     return docs(s, d).select("doc_id", F.sha2(T.normalize(F.col("text")), 256).alias("sha"))
 
 
-@query("collapse_spaced", "SELECT page_id, upper(substr(url, 9, 3)) AS text, true AS collapsed FROM pages WHERE length(url) > 12 AND NOT regexp_matches(substr(url, 9, 3), '\\s')")
+@query(
+    "collapse_spaced",
+    f"WITH {LINES}, spaced AS (SELECT 'url' AS kind, page_id AS id, 0 AS line_no, array_to_string(string_split(url, ''), ' ') AS text FROM pages WHERE url IS NOT NULL UNION ALL SELECT 'line', doc_id, line_no, text FROM lines), p AS (SELECT *, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS parts FROM spaced), c AS (SELECT *, len(parts) > 1 AND len(list_filter(parts, lambda x: length(x) <> 1)) = 0 AS collapsed FROM p) SELECT kind, id, line_no, sha256(CASE WHEN collapsed THEN array_to_string(parts, '') ELSE text END) AS sha, collapsed FROM c",
+)
 def collapse_spaced(s: SparkSession, d: str) -> DataFrame:
-    spaced = F.array_join(F.split(F.upper(F.substring("url", 9, 3)), ""), " ")
-    rows = table(s, d, "pages").where((F.length("url") > 12) & ~F.rlike(F.substring("url", 9, 3), F.lit(r"\s")))
-    return rows.select("page_id", T.collapse_spaced(F.rtrim(spaced)).alias("x")).select("page_id", "x.*")
+    urls = table(s, d, "pages").where("url is not null").select(F.lit("url").alias("kind"), F.col("page_id").alias("id"), F.lit(0).cast("long").alias("line_no"), F.array_join(F.regexp_extract_all("url", F.lit("(?s)."), F.lit(0)), " ").alias("text"))
+    rows = urls.unionByName(doc_lines(s, d).select(F.lit("line").alias("kind"), F.col("doc_id").alias("id"), "line_no", "text"))
+    return rows.select("kind", "id", "line_no", T.collapse_spaced(F.col("text")).alias("x")).select("kind", "id", "line_no", F.sha2("x.text", 256).alias("sha"), "x.collapsed")
 
 
-LOCATE = "q AS (SELECT doc_id, text, substr(text, 11, 3) AS quote FROM documents WHERE length(text) > 20 AND length(text) < 4000), hits AS (SELECT doc_id, quote, list_filter(range(0, length(text)), lambda i: substr(text, i + 1, length(quote)) = quote) AS found FROM q)"
+LOCATE = "q AS (SELECT doc_id, text, substr(text, 11, 3) AS quote FROM documents), chars AS (SELECT doc_id, quote, unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS i FROM q), runs AS (SELECT doc_id, i, quote, ch, lead(ch) OVER w AS ch2, lead(ch, 2) OVER w AS ch3 FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)), hit AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last FROM runs WHERE quote = CASE length(quote) WHEN 1 THEN ch WHEN 2 THEN ch || ch2 WHEN 3 THEN ch || ch2 || ch3 END GROUP BY doc_id), hits AS (SELECT q.doc_id, quote, coalesce(n, 0) AS n, first, last FROM q LEFT JOIN hit ON hit.doc_id = q.doc_id)"
 
 
 def quoted_docs(s: SparkSession, d: str) -> DataFrame:
-    return docs(s, d).where((F.length("text") > 20) & (F.length("text") < 4000)).select("doc_id", "text", F.substring("text", 11, 3).alias("quote"))
+    """All documents with a quote of up to three characters; that of a short text is empty."""
+    return docs(s, d).select("doc_id", "text", F.substring("text", 11, 3).alias("quote"))
 
 
-@query("locate_all_overlapping", f"WITH {LOCATE} SELECT doc_id, quote, len(found)::BIGINT AS n, found[1]::BIGINT AS first, found[-1]::BIGINT AS last FROM hits")
+@query("locate_all_overlapping", f"WITH {LOCATE} SELECT doc_id, quote, n, first, last FROM hits")
 def locate_all(s: SparkSession, d: str) -> DataFrame:
     rows = quoted_docs(s, d).withColumn("found", T.starts(F.col("text"), F.col("quote")))
-    return rows.select("doc_id", "quote", F.size("found").alias("n"), F.element_at("found", 1).alias("first"), F.element_at("found", -1).alias("last"))
+    return rows.select("doc_id", "quote", F.size("found").alias("n"), F.get("found", F.lit(0)).alias("first"), F.try_element_at("found", F.lit(-1)).alias("last"))
 
 
-@query("locate_unique", f'WITH {LOCATE} SELECT doc_id, CASE WHEN len(found) = 1 THEN found[1]::BIGINT END AS start, CASE WHEN len(found) = 1 THEN found[1]::BIGINT + 3 END AS "end", CASE WHEN len(found) > 1 THEN \'ambiguous\' END AS reason FROM hits')
+@query("locate_unique", f"WITH {LOCATE} SELECT doc_id, CASE WHEN n = 1 THEN first END AS start, CASE WHEN n = 1 THEN first + length(quote) END AS \"end\", CASE WHEN quote IS NULL OR quote = '' THEN 'empty_quote' WHEN n > 1 THEN 'ambiguous' END AS reason FROM hits")
 def locate_unique(s: SparkSession, d: str) -> DataFrame:
     return quoted_docs(s, d).select("doc_id", T.locate(F.col("text"), F.col("quote"), F.lit(None).cast("int")).alias("x")).select("doc_id", "x.*")
 
 
-def whole_quoted_docs(s: SparkSession, d: str) -> DataFrame:
-    """Of all documents: long texts, and short ones, whose quote is empty."""
-    return docs(s, d).select("doc_id", "text", F.substring("text", 11, 3).alias("quote"))
-
-
-# No SQL; tested against plain loops. How long DuckDB's list_filter over every position takes on long texts was not measured.
-@query("locate_all_overlapping_whole")
-def locate_all_whole(s: SparkSession, d: str) -> DataFrame:
-    rows = whole_quoted_docs(s, d).withColumn("found", T.starts(F.col("text"), F.col("quote")))
-    return rows.select("doc_id", "quote", F.size("found").alias("n"), F.get("found", F.lit(0)).alias("first"), F.try_element_at("found", F.lit(-1)).alias("last"))
-
-
-@query("locate_unique_whole")
-def locate_unique_whole(s: SparkSession, d: str) -> DataFrame:
-    return whole_quoted_docs(s, d).select("doc_id", T.locate(F.col("text"), F.col("quote"), F.lit(None).cast("int")).alias("x")).select("doc_id", "x.*")
-
-
 SIZED = f"{LINES}, sized AS (SELECT *, 8 + ((doc_id + line_no) % 5) * 1.5 AS size FROM lines)"
 
 
@@ -158,15 +145,13 @@ HTML = {"h1": "heading", "p": "para", "li": "item", "nav": "figure", "footer": "
 
 @query("block_kind_html", "WITH t AS (SELECT page_id, unnest(['h1', 'p', 'li', 'nav', 'footer']) AS tag, unnest(['heading', 'para', 'item', 'figure', 'footer']) AS kind, html FROM pages) SELECT page_id, kind, len(regexp_extract_all(html, '<' || tag || '[ >]'))::BIGINT AS n FROM t WHERE len(regexp_extract_all(html, '<' || tag || '[ >]')) > 0")
 def block_kind_html(s: SparkSession, d: str) -> DataFrame:
-    counts = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_count("html", F.lit(f"<{t}[ >]")).alias("n")) for t, k in HTML.items()])
-    return table(s, d, "pages").select("page_id", F.inline(counts)).where("n > 0")
+    return table(s, d, "pages").select("page_id", F.inline(summary.html_blocks(F.col("html"), HTML))).where("n > 0")
 
 
 @query("kind_summary", "WITH t AS (SELECT page_id, unnest(['h1', 'p', 'li']) AS tag, unnest(['heading', 'para', 'item']) AS kind, html FROM pages), c AS (SELECT page_id, kind, len(regexp_extract_all(html, '<' || tag || '[ >]')) AS n FROM t) SELECT page_id, string_agg(kind || '=' || n, ' ' ORDER BY kind) AS summary FROM c GROUP BY page_id")
 def kind_summary(s: SparkSession, d: str) -> DataFrame:
-    counts = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_count("html", F.lit(f"<{t}[ >]")).alias("n")) for t, k in HTML.items() if k in ("heading", "para", "item")])
-    shown = F.transform(F.array_sort(counts), lambda x: F.concat(x["kind"], F.lit("="), x["n"].cast("string")))
-    return table(s, d, "pages").select("page_id", F.array_join(shown, " ").alias("summary"))
+    shown = {t: k for t, k in HTML.items() if k in ("heading", "para", "item")}
+    return table(s, d, "pages").select("page_id", summary.one_line(summary.html_blocks(F.col("html"), shown)).alias("summary"))
 
 
 @query("block_class_gate", "WITH b AS (SELECT d.doc_id, CASE d.doc_id % 5 WHEN 0 THEN 'table' WHEN 1 THEN 'para' WHEN 2 THEN 'document_title' WHEN 3 THEN 'figure' ELSE 'item' END AS kind, coalesce(l.toxic, 0) = 1 AS excluded, d.doc_id % 7 = 0 AS annex, d.doc_id % 11 = 0 AS vision, d.doc_id % 3 AS n_rows, trim(d.text, ' ') = '' AS blank FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) SELECT doc_id, CASE WHEN excluded THEN 'excluded' WHEN kind = 'table' THEN CASE WHEN annex THEN 'not_targeted' WHEN vision OR n_rows = 0 OR doc_id % 13 = 0 THEN 'unreadable' ELSE 'table' END WHEN kind IN ('para', 'item') THEN CASE WHEN blank THEN 'context' ELSE 'target' END WHEN kind = 'document_title' THEN 'context' ELSE 'excluded' END AS class, CASE WHEN excluded THEN NULL WHEN kind = 'table' THEN CASE WHEN annex THEN 'annex_table' WHEN vision THEN 'requires_vision' WHEN n_rows = 0 THEN 'no_rows' WHEN doc_id % 13 = 0 THEN 'table_structure_warning:table_geometry_ambiguous,table_grid_sparse' END WHEN kind IN ('para', 'item') AND blank THEN 'empty_text' END AS reason FROM b")
@@ -202,11 +187,11 @@ def ancestor_closure(s: SparkSession, d: str) -> DataFrame:
 
 
 LEXICON = [("the", "SEC_OVERVIEW", 0), ("The", "SEC_OVERVIEW", 1), ("Ther", "SEC_RESULT", 2), ("Der", "SEC_STATUS", 3), ("Die", "SEC_STATUS", 4), ("Les", "SEC_PLAN", 5), ("And", "SEC_GROUNDS", 6), ("Ere", "SEC_EFFECT", 7), ("Thand", "SEC_PROBLEM", 8)]
-HEADINGS = f"{LINES}, lex AS (SELECT * FROM (VALUES {', '.join(str(x) for x in LEXICON)}) v(word, tag, seq)), heads AS (SELECT doc_id, line_no, regexp_replace(substr(text, 1, 20), '\\s', '', 'g') AS heading FROM lines)"
+HEADINGS = f"{LINES}, lex AS (SELECT * FROM (VALUES {', '.join(str(x) for x in LEXICON)}) v(word, tag, seq)), heads AS (SELECT doc_id, line_no, regexp_replace(text, '\\s', '', 'g') AS heading FROM lines)"
 
 
 def headings(s: SparkSession, d: str) -> DataFrame:
-    return doc_lines(s, d).select("doc_id", "line_no", F.regexp_replace(F.substring("text", 1, 20), r"\s", "").alias("heading"))
+    return doc_lines(s, d).select("doc_id", "line_no", F.regexp_replace("text", r"\s", "").alias("heading"))
 
 
 @query("tag_longest_prefix", f"WITH {HEADINGS} SELECT h.doc_id, h.line_no, coalesce((SELECT tag FROM lex WHERE starts_with(h.heading, word) ORDER BY length(word) DESC, seq LIMIT 1), 'SEC_UNKNOWN') AS tag FROM heads h")
@@ -339,11 +324,9 @@ def dup_ids(s: SparkSession, d: str) -> DataFrame:
     return validate.duplicate_keys(docs(s, d), ["text"])
 
 
-@query("id_sets_diff", "SELECT DISTINCT doc_id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, 'extra' AS side FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0) AND doc_id % 3 = 0")
+@query("id_sets_diff", "SELECT DISTINCT doc_id, 'missing' AS side FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages) UNION ALL SELECT DISTINCT page_id AS doc_id, 'extra' AS side FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels)")
 def id_sets_diff(s: SparkSession, d: str) -> DataFrame:
-    labels = table(s, d, "labels")
-    missing = validate.key_difference(docs(s, d), labels, "doc_id").where("side = 'missing'")
-    return missing.unionByName(validate.key_difference(docs(s, d).where("doc_id % 3 <> 0"), labels, "doc_id").where("side = 'extra'"))
+    return validate.key_difference(table(s, d, "labels"), table(s, d, "pages").withColumnRenamed("page_id", "doc_id"), "doc_id")
 
 
 STEPS = f"{LINES}, s AS (SELECT doc_id, line_no, CASE (doc_id + line_no) % 4 WHEN 0 THEN 'PURPOSE' WHEN 1 THEN 'EFFECT' WHEN 2 THEN 'PROBLEM' ELSE 'UNDETERMINED' END AS move, CASE (doc_id + 2 * line_no) % 5 WHEN 0 THEN []::VARCHAR[] WHEN 1 THEN ['QUANTITATIVE'] WHEN 2 THEN ['GAP', 'CAUSE'] WHEN 3 THEN ['GAP', 'GAP'] ELSE ['QUALITATIVE'] END AS steps, CASE line_no % 4 WHEN 0 THEN 'determined' WHEN 1 THEN 'partial' WHEN 2 THEN 'undetermined' ELSE 'not_applicable' END AS status, CASE WHEN line_no % 3 = 0 THEN 'why' WHEN line_no % 3 = 1 THEN ' ' END AS reason FROM lines), a AS (SELECT *, CASE move WHEN 'EFFECT' THEN ['QUANTITATIVE', 'QUALITATIVE'] WHEN 'PROBLEM' THEN ['GAP', 'DEFECT', 'CONSTRAINT', 'CAUSE'] ELSE []::VARCHAR[] END AS allowed, trim(coalesce(reason, ''), ' ') <> '' AS said FROM s)"
@@ -393,15 +376,15 @@ def usage_rollup(s: SparkSession, d: str) -> DataFrame:
     return agreement.usage(table(s, d, "events"), ["event_type"], "props")
 
 
-UNITS = "l AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE doc_id % 3 END AS row, doc_id % 5 AS sig FROM documents WHERE doc_id % 10 <> 9), r AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE doc_id % 3 END AS row, CASE WHEN doc_id % 6 = 0 THEN -1 ELSE doc_id % 5 END AS sig FROM documents WHERE doc_id % 10 <> 8), u AS (SELECT coalesce(l.doc_id, r.doc_id) AS doc_id, coalesce(l.row, r.row) AS row, l.doc_id IS NOT NULL AS in_left, r.doc_id IS NOT NULL AS in_right, l.doc_id IS NOT NULL AND r.doc_id IS NOT NULL AND l.sig IS NOT DISTINCT FROM r.sig AS matched FROM l FULL JOIN r ON l.doc_id = r.doc_id AND l.row IS NOT DISTINCT FROM r.row)"
+UNITS = "l AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE doc_id % 3 END AS row, quality AS sig FROM labels), r AS (SELECT page_id AS doc_id, CASE WHEN page_id % 4 = 0 THEN NULL ELSE page_id % 3 END AS row, length(url) % 2 AS sig FROM pages), u AS (SELECT coalesce(l.doc_id, r.doc_id) AS doc_id, coalesce(l.row, r.row) AS row, l.doc_id IS NOT NULL AS in_left, r.doc_id IS NOT NULL AS in_right, l.doc_id IS NOT NULL AND r.doc_id IS NOT NULL AND l.sig IS NOT DISTINCT FROM r.sig AS matched FROM l FULL JOIN r ON l.doc_id = r.doc_id AND l.row IS NOT DISTINCT FROM r.row)"
 
 
 def units(s: SparkSession, d: str) -> DataFrame:
-    i = F.col("doc_id")
-    row = F.when(i % 4 != 0, i % 3)
+    """Two whole tables as two runs: they share some ids, and differ in others by themselves."""
+    row = F.when(F.col("doc_id") % 4 != 0, F.col("doc_id") % 3)
     move = lambda x: agreement.signature(F.array(F.struct(x.cast("string").alias("move"), F.array(F.lit("b"), F.lit("a")).alias("steps"))))
-    left = docs(s, d).where(i % 10 != 9).select("doc_id", row.alias("row"), move(i % 5).alias("signature"))
-    right = docs(s, d).where(i % 10 != 8).select("doc_id", row.alias("row"), move(F.when(i % 6 == 0, -1).otherwise(i % 5)).alias("signature"))
+    left = table(s, d, "labels").select("doc_id", row.alias("row"), move(F.col("quality")).alias("signature"))
+    right = table(s, d, "pages").withColumnRenamed("page_id", "doc_id").select("doc_id", row.alias("row"), move(F.length("url") % 2).alias("signature"))
     return agreement.compare_units(left, right, ["doc_id", "row"])
 
 
@@ -415,10 +398,10 @@ def agreement_micro(s: SparkSession, d: str) -> DataFrame:
     return agreement.agreement(units(s, d), []).withColumn("agreement", F.round("agreement", 9))
 
 
-@query("snapshot_antijoin", "SELECT DISTINCT sha256(text) AS sha FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)")
+@query("snapshot_antijoin", "SELECT DISTINCT sha256(text) AS sha FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))")
 def snapshot_antijoin(s: SparkSession, d: str) -> DataFrame:
     named = docs(s, d).select("doc_id", F.sha2("text", 256).alias("sha"))
-    return named.join(named.where("doc_id % 2 = 0").select("sha"), "sha", "left_anti").select("sha").distinct()
+    return summary.unseen(named, named.join(table(s, d, "labels").select("doc_id"), "doc_id", "left_semi"), "sha")
 
 
 @query("priority_greedy_take", "WITH RECURSIVE o AS (SELECT o_custkey, 1 + o_orderkey % 12 AS u, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS n FROM orders), f AS (SELECT o_custkey, n, u::BIGINT AS s, 1::BIGINT AS taken FROM o WHERE n = 1 UNION ALL SELECT o.o_custkey, o.n, CASE WHEN f.s + o.u <= 37 THEN f.s + o.u ELSE f.s END, CASE WHEN f.s + o.u <= 37 THEN f.taken + 1 ELSE f.taken END FROM f JOIN o ON o.o_custkey = f.o_custkey AND o.n = f.n + 1) SELECT o_custkey, s AS taken_units, taken FROM f QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC) = 1")
@@ -517,22 +500,50 @@ def shadow_lines(s: SparkSession, d: str) -> DataFrame:
     return L.drop_shadows(rows.unionByName(twin), ["doc_id", "page"]).groupBy("doc_id").agg(F.count_if("is_light").alias("light"), F.count("*").alias("n"))
 
 
-@query("line_markers")
+MARKS = ("Ⅰ. ", "1. ", "□ ", "ㅇ ", "- ", "· ", "※ ", "① ", "1) ", "가. ", "(a) ", "◆ ", "붙임 1. ", "")
+# SQL has no lookahead: what a pattern forbids after itself is a condition on the rest of the line.
+AFTER = {
+    "number": "(regexp_matches(text, '^\\d{1,2}\\.\\s{2,}') OR NOT regexp_matches(text, '^\\d{1,2}\\.\\s+\\d{1,2}\\s*[.(（~∼〜]'))",
+    "dash": "(NOT regexp_matches(text, '^.\\d')) AND NOT regexp_matches(regexp_replace(text, '^.\\s*', ''), '^.+[-‐‑–—]\\s*$')",
+}
+
+
+def marker_sql() -> str:
+    """The first pattern that fits, as a CASE chain over the same fixed values."""
+    cases: dict[str, list[str]] = {c: [] for c in ("kind", "level", "type", "marker", "content")}
+    for level, kind, pattern in T.MARKERS:
+        bare = pattern.split("(?!")[0].replace("(?=\\S)", "").replace("(?:\\s+|(?=\\D))", "\\s*").replace("'", "''")
+        content = f"trim(regexp_replace(text, '{bare}', ''), ' ')"
+        when = f"WHEN regexp_matches(text, '{bare}') AND {content} <> '' AND {AFTER.get(kind, 'true')} THEN "
+        shown = "note" if kind == "note" else "heading" if level in (1, 2) else "item"
+        parts = f"list_filter(regexp_split_to_array({content}, '\\s+'), lambda x: x <> '')"
+        body = f"CASE WHEN len({parts}) > 1 AND len(list_filter({parts}, lambda x: length(x) <> 1)) = 0 THEN array_to_string({parts}, '') ELSE {content} END" if shown == "heading" else content
+        for name, value in (("kind", f"'{shown}'"), ("level", str(level or "NULL")), ("type", f"'{kind}'"), ("marker", f"regexp_extract(text, '{bare}', 1)"), ("content", body)):
+            cases[name].append(when + value)
+    attached = r"^(붙\s*임|참\s*고|첨\s*부|별\s*첨)\s*(\d{1,2})?\s*[.:]?\s*"
+    last = {"kind": "'attachment'", "level": "1", "type": "'attachment'", "marker": f"trim(regexp_extract(text, '{attached}'), ' ')", "content": f"trim(regexp_replace(text, '{attached}', ''), ' ')"}
+    other = {"kind": "'para'", "level": "NULL", "type": "NULL", "marker": "NULL", "content": "text"}
+    shown = ", ".join(f"(CASE {' '.join(cases[c])} WHEN regexp_matches(text, '{attached}') THEN {last[c]} ELSE {other[c]} END){'::BIGINT' if c == 'level' else ''} AS {c}" for c in cases)
+    marks = ", ".join(f"'{m}'" for m in MARKS)
+    return f"WITH {LINES}, marked AS (SELECT doc_id, line_no, trim([{marks}][line_no % {len(MARKS)} + 1] || text, ' ') AS text FROM lines) SELECT doc_id, line_no, {shown} FROM marked"
+
+
+@query("line_markers", marker_sql())
 def line_markers(s: SparkSession, d: str) -> DataFrame:
-    marks = F.element_at(F.array(*[F.lit(x) for x in ("Ⅰ. ", "1. ", "□ ", "ㅇ ", "- ", "· ", "※ ", "① ", "1) ", "")]), (F.col("line_no") % 10 + 1).cast("int"))
+    marks = F.element_at(F.array(*[F.lit(x) for x in MARKS]), (F.col("line_no") % len(MARKS) + 1).cast("int"))
     return doc_lines(s, d).select("doc_id", "line_no", T.marker(F.concat(marks, F.col("text"))).alias("m")).select("doc_id", "line_no", "m.*")
 
 
 @query("response_issues")
 def response_issues(s: SparkSession, d: str) -> DataFrame:
     """Answers made from annotated lines, judged by every code that answers alone can break."""
-    rows = annotated(s, d).join(doc_lines(s, d), ["doc_id", "line_no"]).where(F.length("text") > 10)
+    rows = annotated(s, d).join(doc_lines(s, d), ["doc_id", "line_no"])
     key = F.concat_ws(":", "doc_id", "line_no")
     odd = (F.col("doc_id") + F.col("line_no")) % 11
     made = rows.select(
         F.col("doc_id").alias("request_id"), key.alias("block_id"), F.when(odd == 1, "b1").otherwise("a1").alias("annotation_id"), F.when(odd == 2, "NONE").otherwise(F.col("move")).alias("move"), "steps",
         F.col("status").alias("step_status"), F.col("reason").alias("step_reason"), F.when((F.col("move") == "UNDETERMINED") & (odd != 3), "AMBIGUOUS").alias("undetermined_reason"), F.when(odd == 4, 1).otherwise(0).alias("spec_items"),
-        F.substring("text", 1, F.when(odd == 5, 1).otherwise(10)).alias("quote"), F.lit(None).cast("int").alias("occurrence"), "text", odd.alias("odd"),
+        F.when(odd == 5, F.substring("text", 1, 1)).otherwise(F.col("text")).alias("quote"), F.lit(None).cast("int").alias("occurrence"), "text", odd.alias("odd"),
     )
     asked = made.select("request_id", "block_id")
     answered = made.where("odd <> 6").select("request_id", "block_id", F.when(F.col("odd") == 7, "a9").alias("primary_id"))

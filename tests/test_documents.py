@@ -34,7 +34,17 @@ def test_locate(spark):
 def test_markers(spark):
     lines = ["Ⅰ. 개요", "1. 배경", "1. 2. 회의", "□ 항목", "ㅇ 세부", "- 내용", "- 2 -", "· 점", "※ 참고", "① 하나", "붙임 1 목록", "참고사항을 확인한다", "plain", " 기호", "□"]
     got = column(spark, lines, lambda x: F.concat_ws("/", T.marker(x)["kind"], T.marker(x)["level"].cast("string"), T.marker(x)["type"]))
-    assert got == ["heading/1/roman", "heading/2/number", "para", "item/3/square", "item/4/circle", "item/5/dash", "para", "item/6/dot", "note/note", "item/circled", "attachment/1", "para", "para", "item/3/square", "para"]
+    assert got == ["heading/1/roman", "heading/2/number", "para", "item/3/square", "item/4/circle", "item/5/dash", "para", "item/6/dot", "note/note", "item/circled", "attachment/1/attachment", "para", "para", "item/3/square", "para"]
+
+
+def test_markers_that_look_alike(spark):
+    lines = ["-5도 이하", "2. 14（수） 회의", "5. 30∼31. 행사", "가.나다라", "(A) 항목", "가. 나다라", "- 표어 -", "-표어", "1. 개 요", "Ⅳ 결 과", "ㆍ점", "ㆍ 점", "붙임2. 명단", "별 첨", "m 항목", "\uf06d항목"]
+    got = column(spark, lines, lambda x: F.concat_ws("/", T.marker(x)["kind"], T.marker(x)["type"], T.marker(x)["marker"], T.marker(x)["content"]))
+    assert got == [
+        "para/-5도 이하", "para/2. 14（수） 회의", "para/5. 30∼31. 행사", "para/가.나다라", "item/paren/(A)/항목", "item/hangul/가./나다라", "para/- 표어 -", "item/dash/-/표어", "heading/number/1./개요", "heading/roman/Ⅳ/결과",
+        "para/ㆍ점", "item/dot/ㆍ/점", "attachment/attachment/붙임2./명단", "attachment/attachment/별 첨/", "item/square/m/항목", "item/square/\uf06d/항목",
+    ]
+    assert column(spark, ["1. 가", "-표어 -", "붙임", "plain", "◆ x"], T.starts_block) == [True, True, True, False, True]
 
 
 def test_hierarchy_follows_a_stack(spark):
@@ -138,5 +148,5 @@ def test_quotes_are_located_in_all_documents(spark, tmp_path):
         found = [p for p in range(len(t)) if t.startswith(q, p)] if q else []
         every[i] = (q, len(found), found[0] if found else None, found[-1] if found else None)
         one[i] = (None, None, "empty_quote") if not q else (None, None, "ambiguous") if len(found) > 1 else (found[0], found[0] + len(q), None)
-    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_all_overlapping_whole"](spark, str(tmp_path)).collect()} == every
-    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_unique_whole"](spark, str(tmp_path)).collect()} == one
+    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_all_overlapping"](spark, str(tmp_path)).collect()} == every
+    assert {r[0]: tuple(r[1:]) for r in QUERIES["locate_unique"](spark, str(tmp_path)).collect()} == one
