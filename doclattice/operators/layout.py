@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 
-ROW_OVERLAP, FRAGMENT_GAP, WRAP_SHORT, WRAP_GAP, SAME_SIZE = 0.5, 1.0, 1.0, 1.2, 0.15
+ROW_OVERLAP, FRAGMENT_GAP, SAME_SIZE = 0.5, 1.0, 0.15
 
 
 def _overlap(a0: float, a1: float, b0: float, b1: float) -> float:
@@ -28,17 +28,6 @@ def first_fit_rows(page: pd.DataFrame) -> list[list[int]]:
     return [sorted(row, key=lambda i: boxes[i][0]) for row in rows]
 
 
-def reading_order(lines: DataFrame, key: list[str]) -> DataFrame:
-    """position: rows from top to bottom, and from left to right within a row."""
-
-    def place(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.reset_index(drop=True)
-        order = [i for row in first_fit_rows(page) for i in row]
-        return page.assign(position=pd.Series(range(len(order)), index=order, dtype="int64"))
-
-    return lines.groupBy(*key).applyInPandas(place, f"{_ddl(lines)}, position long")
-
-
 def join_fragments(lines: DataFrame, key: list[str]) -> DataFrame:
     """fragment_of: the first line of the row's stretch whose gaps are at most an em and whose sizes agree within 15 percent."""
 
@@ -59,27 +48,6 @@ def join_fragments(lines: DataFrame, key: list[str]) -> DataFrame:
     return lines.groupBy(*key).applyInPandas(join, f"{_ddl(lines)}, fragment_of long")
 
 
-def merge_wrapped(lines: DataFrame, key: list[str]) -> DataFrame:
-    """Paragraphs: a line goes on the paragraph before it if that nearly reaches the page's right edge, the gap and size fit,
-    and the line doesn't begin a block of its own (column starts_block)."""
-
-    def merge(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["y0", "x0"]).reset_index(drop=True)
-        edge = page["x1"].max()
-        out: list[dict] = []
-        for line in page.to_dict("records"):
-            last = out[-1] if out else None
-            if last is not None and not line["starts_block"] and edge - last["x1"] < WRAP_SHORT * last["size"] and line["y0"] - last["y1"] < WRAP_GAP * last["size"] and abs(line["size"] - last["size"]) <= SAME_SIZE * last["size"]:
-                glue = "" if not last["text"].endswith(" ") and not line["text"].startswith(" ") and last["text"][-1:].isalnum() and last["x1"] >= edge else " "
-                last["text"] = last["text"].rstrip() + glue + line["text"].lstrip()
-                last.update(x0=min(last["x0"], line["x0"]), x1=line["x1"], y1=line["y1"], n_lines=last["n_lines"] + 1)
-            else:
-                out.append({**line, "n_lines": 1})
-        return pd.DataFrame(out, columns=[*page.columns, "n_lines"])
-
-    return lines.groupBy(*key).applyInPandas(merge, f"{_ddl(lines)}, n_lines long")
-
-
 def touching_components(boxes: DataFrame, key: list[str], tolerance: float = 1.0) -> DataFrame:
     """component: the smallest `box` of those that boxes reach by touching."""
 

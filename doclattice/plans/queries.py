@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doclattice.functions import text as T
-from doclattice.operators import agreement, drawings, grid, labeling, layout, requests, rules, summary, targets, tree, validate
+from doclattice.operators import agreement, drawings, grid, labeling, layout, page, requests, rules, summary, targets, tree, validate
 from doclattice.operators import lines as L
 from doclattice.sources.readers import boxed, leveled, lines, table
 
@@ -472,9 +472,45 @@ def page_boxes(s: SparkSession, d: str) -> DataFrame:
 
 
 # Steps that are sequential on a page have no SQL; tests/test_layout.py holds them against plain loops.
+def page_lines(s: SparkSession, d: str) -> DataFrame:
+    """page_boxes as lines of a page of 482 points."""
+    return page_boxes(s, d).drop("starts_block").withColumn("is_bold", F.lit(False)).withColumn("height", F.lit(482.0))
+
+
 @query("reading_order")
 def reading_order(s: SparkSession, d: str) -> DataFrame:
-    return layout.reading_order(page_boxes(s, d), ["doc_id", "page"]).select("doc_id", "page", "line_no", "position")
+    rows = page_boxes(s, d).withColumn("kind", F.lit("para"))
+    return page.reading_position(rows, ["doc_id", "page"], "line_no").select("doc_id", "page", "line_no", "position")
+
+
+PLACED = f"{BOXED}, p AS (SELECT doc_id, line_no, page, text, x0, x1, y0 - (page - 1) * 480 AS y0, y1 - (page - 1) * 480 AS y1, 482.0::DOUBLE AS height FROM boxed)"
+EDGED = f"{PLACED}, e AS (SELECT *, CASE WHEN y1 <= height * 0.1 THEN 'header' WHEN y0 >= height * 0.9 THEN 'footer' END AS edge, regexp_replace(text, '\\d+', '#', 'g') AS template FROM p), t AS (SELECT doc_id, edge, template, page, line_no, x0, y0 / height AS y FROM e WHERE edge IS NOT NULL), seen AS (SELECT a.doc_id, a.page, a.line_no, count(DISTINCT b.page) AS seen FROM t a JOIN t b ON a.doc_id = b.doc_id AND a.edge = b.edge AND a.template = b.template AND abs(a.x0 - b.x0) <= 6 AND abs(a.y - b.y) <= 0.01 GROUP BY ALL), n AS (SELECT doc_id, count(DISTINCT page) AS n FROM p GROUP BY doc_id)"
+
+
+@query("page_running_elements", f"WITH {EDGED} SELECT e.doc_id, e.page, e.line_no, CASE WHEN regexp_matches(text, '^[-–—]\\s*\\d{{1,4}}\\s*[-–—]$') AND (y1 <= height * 0.12 OR y0 >= height * 0.88) THEN 'page_number' WHEN edge IS NULL THEN NULL WHEN regexp_matches(text, '^[\\s\\-–—]*\\d{{1,4}}\\s*(?:/\\s*\\d{{1,4}})?[\\s\\-–—]*$') THEN 'page_number' WHEN seen >= greatest(2, ceil(n * 0.6)) THEN edge END AS running FROM e LEFT JOIN seen s ON s.doc_id = e.doc_id AND s.page = e.page AND s.line_no = e.line_no LEFT JOIN n ON n.doc_id = e.doc_id")
+def page_running_elements(s: SparkSession, d: str) -> DataFrame:
+    """Lines one below the other: none stands beside another."""
+    rows = boxed(doc_lines(s, d)).withColumn("y0", F.col("y0") - (F.col("page") - 1) * 480).withColumn("y1", F.col("y1") - (F.col("page") - 1) * 480)
+    return page.running_elements(rows.withColumn("height", F.lit(482.0)), ["doc_id"]).select("doc_id", "page", "line_no", "running")
+
+
+@query("page_blocks")
+def page_blocks(s: SparkSession, d: str) -> DataFrame:
+    return page.assemble(page_lines(s, d), ["doc_id"]).select("doc_id", "page", "position", "kind", "level", "type", "marker", F.sha2("text", 256).alias("sha"))
+
+
+MARKDOWN_KINDS = "CASE level WHEN 1 THEN 'heading' WHEN 2 THEN 'heading' WHEN 3 THEN 'item' WHEN 4 THEN 'item' WHEN 5 THEN 'note' WHEN 6 THEN 'attachment' ELSE 'para' END"
+
+
+@query(
+    "document_markdown",
+    f"WITH {LEVELED}, b AS (SELECT doc_id, line_no, line_no // 40 + 1 AS page, level, {MARKDOWN_KINDS} AS kind, text FROM leveled WHERE trim(text, ' ') <> ''), m AS (SELECT *, CASE kind WHEN 'heading' THEN repeat('#', (level + 1)::INT) || ' * ' || text || chr(10) WHEN 'attachment' THEN rtrim(chr(10) || '***** ' || text, ' ') || chr(10) WHEN 'para' THEN text ELSE repeat('  ', greatest(level - 3, 0)::INT) || '* ' || text END AS drawn, lag(page) OVER (PARTITION BY doc_id ORDER BY line_no) AS before FROM b), w AS (SELECT doc_id, string_agg(CASE WHEN before IS DISTINCT FROM page THEN chr(10) || '<!-- page ' || page || ' -->' || chr(10) || chr(10) ELSE '' END || drawn, chr(10) ORDER BY line_no) AS body FROM m GROUP BY doc_id) SELECT w.doc_id, sha256('# ' || source || chr(10) || chr(10) || regexp_replace(body, '\\s+$', '') || chr(10)) AS sha FROM w JOIN documents d ON d.doc_id = w.doc_id",
+)
+def document_markdown(s: SparkSession, d: str) -> DataFrame:
+    kind = F.expr(MARKDOWN_KINDS)
+    rows = leveled(doc_lines(s, d)).where("trim(text) <> ''").withColumn("page", F.floor(F.col("line_no") / 40) + 1).withColumn("kind", kind).withColumnRenamed("line_no", "position")
+    rows = rows.withColumn("marker", F.when(kind == "attachment", "*").when(kind != "para", "*")).join(docs(s, d).select("doc_id", "source"), "doc_id")
+    return page.markdown(rows, ["doc_id"], F.col("source")).select("doc_id", F.sha2("markdown", 256).alias("sha"))
 
 
 @query("row_fragments")
@@ -484,7 +520,7 @@ def row_fragments(s: SparkSession, d: str) -> DataFrame:
 
 @query("wrapped_paragraphs")
 def wrapped_paragraphs(s: SparkSession, d: str) -> DataFrame:
-    return layout.merge_wrapped(page_boxes(s, d), ["doc_id", "page"]).select("doc_id", "page", "line_no", "text", "n_lines")
+    return page.flow(page_lines(s, d), ["doc_id", "page"]).select("doc_id", "page", "line_no", "text", "n_lines")
 
 
 @query("touching_components")

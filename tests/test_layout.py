@@ -7,23 +7,11 @@ def boxes(spark, rows):
     return spark.createDataFrame(rows, "page int, line_no long, text string, x0 double, y0 double, x1 double, y1 double, size double, starts_block boolean")
 
 
-def test_reading_order_keeps_rows_together(spark):
-    rows = [(1, 0, "left", 50.0, 10.4, 90.0, 20.4, 10.0, False), (1, 1, "right", 100.0, 10.0, 150.0, 20.0, 10.0, False), (1, 2, "below", 50.0, 25.0, 90.0, 35.0, 10.0, False)]
-    got = {r.line_no: r.position for r in layout.reading_order(boxes(spark, rows), ["page"]).collect()}
-    assert got == {0: 0, 1: 1, 2: 2}
-
-
 def test_fragments(spark):
     rows = [(1, 0, "a", 0.0, 0.0, 10.0, 10.0, 10.0, False), (1, 1, "b", 15.0, 0.0, 25.0, 10.0, 10.0, False), (1, 2, "far", 60.0, 0.0, 70.0, 10.0, 10.0, False), (1, 3, "big", 72.0, 0.0, 80.0, 10.0, 20.0, False)]
     assert {r.line_no: r.fragment_of for r in layout.join_fragments(boxes(spark, rows), ["page"]).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
 
 
-def test_wrapped(spark):
-    rows = [(1, 0, "alpha ", 0.0, 0.0, 100.0, 10.0, 10.0, True), (1, 1, "beta", 0.0, 12.0, 40.0, 22.0, 10.0, False), (1, 2, "next", 0.0, 24.0, 50.0, 34.0, 10.0, False), (2, 0, "alpha", 0.0, 0.0, 100.0, 10.0, 10.0, True), (2, 1, "bet", 0.0, 12.0, 40.0, 22.0, 10.0, False)]
-    got = [(r.page, r.text, r.n_lines) for r in layout.merge_wrapped(boxes(spark, rows), ["page"]).orderBy("page", "y0").collect()]
-    assert got == [(1, "alpha beta", 2), (1, "next", 1), (2, "alphabet", 2)]
-
-
 def test_components_against_a_plain_search(spark):
     rng = random.Random(9)
     rows = [(p, b, x := rng.uniform(0, 100), y := rng.uniform(0, 100), x + rng.uniform(1, 15), y + rng.uniform(1, 15)) for p in range(5) for b in range(40)]
