@@ -5,49 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 
-ROW_OVERLAP, FRAGMENT_GAP, SAME_SIZE = 0.5, 1.0, 0.15
-
 
 def _overlap(a0: float, a1: float, b0: float, b1: float) -> float:
     height = min(a1 - a0, b1 - b0)
     return max(0.0, min(a1, b1) - max(a0, b0)) / height if height > 0 else 0.0
 
 
-def first_fit_rows(page: pd.DataFrame) -> list[list[int]]:
-    """Positions by row: a box joins the first row whose first box it overlaps by over half the smaller height."""
-    rows: list[list[int]] = []
-    boxes = page[["x0", "y0", "x1", "y1"]].to_numpy()
-    for i in sorted(range(len(page)), key=lambda i: (boxes[i][1], boxes[i][0])):
-        for row in rows:
-            first = boxes[row[0]]
-            if _overlap(boxes[i][1], boxes[i][3], first[1], first[3]) > ROW_OVERLAP:
-                row.append(i)
-                break
-        else:
-            rows.append([i])
-    return [sorted(row, key=lambda i: boxes[i][0]) for row in rows]
-
-
-def join_fragments(lines: DataFrame, key: list[str]) -> DataFrame:
-    """fragment_of: the first line of the row's stretch whose gaps are at most an em and whose sizes agree within 15 percent."""
-
-    def join(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.reset_index(drop=True)
-        owner = [0] * len(page)
-        for row in first_fit_rows(page):
-            head = row[0]
-            for before, i in zip([None, *row[:-1]], row, strict=True):
-                if before is not None:
-                    size = max(page["size"][before], page["size"][i])
-                    near = page["x0"][i] - page["x1"][before] <= FRAGMENT_GAP * size
-                    alike = abs(page["size"][i] - page["size"][before]) <= SAME_SIZE * size
-                    head = head if near and alike else i
-                owner[i] = int(page["line_no"][head])
-        return page.assign(fragment_of=pd.Series(owner, dtype="int64"))
-
-    return lines.groupBy(*key).applyInPandas(join, f"{_ddl(lines)}, fragment_of long")
-
-
 def touching_components(boxes: DataFrame, key: list[str], tolerance: float = 1.0) -> DataFrame:
     """component: the smallest `box` of those that boxes reach by touching."""
 

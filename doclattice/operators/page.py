@@ -1,4 +1,4 @@
-"""From lines to blocks: running elements by joins, then one pandas group for each page, whose size the page bounds.
+"""From lines to blocks: running elements by joins, then steps that walk the lines of a page, in partitions sorted by page.
 
 A line has key columns, page, line_no, text, x0, y0, x1, y1, size, is_bold, height (of its page) and, where glyphs are known, left and
 right (where the first word begins and the last one ends) and value_left (where what follows a colon begins); without them the box counts.
@@ -7,11 +7,15 @@ right (where the first word begins and the last one ends) and value_left (where
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from doclattice.functions import text as T
 from doclattice.operators.layout import _overlap
@@ -101,14 +105,27 @@ class Piece:
         )
 
 
-def pieces(page: pd.DataFrame) -> list[Piece]:
-    known = lambda row, name, other: row[name] if name in row and pd.notna(row[name]) else other
+def pieces(page: list[dict]) -> list[Piece]:
+    known = lambda row, name, other: other if row.get(name) is None else row[name]
     return [
-        Piece(int(r["line_no"]), r["text"], r["x0"], r["y0"], r["x1"], r["y1"], r["size"], bool(known(r, "is_bold", False)), known(r, "left", r["x0"]), known(r, "right", r["x1"]), known(r, "value_left", None))
-        for r in page.to_dict("records")
+        Piece(int(r["line_no"]), r["text"], r["x0"], r["y0"], r["x1"], r["y1"], r["size"], bool(known(r, "is_bold", False)), known(r, "left", r["x0"]), known(r, "right", r["x1"]), r.get("value_left"))
+        for r in page
     ]
 
 
+def by_page(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[list[dict]]:
+    """The rows of one page after the other, of batches that are sorted by the key. One page is held at a time, and one batch."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and any(row[c] != held[-1][c] for c in key):
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
 def visual_rows(found: list[Piece]) -> list[list[Piece]]:
     """Rows from top to bottom: a piece joins the first row whose first piece it overlaps by over half of the smaller height."""
     rows: list[list[Piece]] = []
@@ -280,8 +297,8 @@ def wrap(found: list[Piece], barriers: list[tuple[float, float, float, float]] =
     return [p.whole for p in out]
 
 
-def flow(lines: DataFrame, key: list[str], barriers: DataFrame | None = None, rules: DataFrame | None = None) -> DataFrame:
-    """Paragraphs of each page: key, line_no (of the first line), text, box, size, n_lines, steps, left.
+def flow(lines: DataFrame, key: list[str], barriers: DataFrame | None = None, rules: DataFrame | None = None, wrapping: bool = True) -> DataFrame:
+    """Paragraphs of each page (without wrapping: its lines, fragments joined): key, line_no (of the first line), text, box, size, n_lines, steps, left.
 
     barriers: key and x0, y0, x1, y1 of tables, figures and running lines; rules: key and x, top, bottom of vertical rules. They come
     to their page as arrays.
@@ -294,35 +311,46 @@ def flow(lines: DataFrame, key: list[str], barriers: DataFrame | None = None, ru
             held = held.join(side.groupBy(*key).agg(F.collect_list(F.array(*[F.col(f).cast("double") for f in fields])).alias(f"__{name}")), key, "left")
     own = [f for f in lines.schema if f.name in key]
 
-    def build(page: pd.DataFrame) -> pd.DataFrame:
-        sides = [[] if page[c].iloc[0] is None else [tuple(x) for x in page[c].iloc[0]] for c in ("__barriers", "__rules")]
-        done = wrap(join_columns(join_rows(pieces(page.drop(columns=["__barriers", "__rules"])), sides[1])), *sides)
-        first = {f.name: page[f.name].iloc[0] for f in own}
-        return pd.DataFrame([{**first, "line_no": p.line_no, "text": p.text, "x0": p.x0, "y0": p.y0, "x1": p.x1, "y1": p.y1, "size": p.size, "n_lines": p.n_lines, "steps": sorted(p.steps), "left": p.left} for p in done])
+    schema = StructType([*own, *_parse_datatype_string("line_no long, text string, x0 double, y0 double, x1 double, y1 double, size double, n_lines long, steps array<string>, left double")])
+    arrow = to_arrow_schema(schema)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict] = []
+        for page in by_page(batches, key):
+            sides = [[tuple(x) for x in page[0][c] or []] for c in ("__barriers", "__rules")]
+            joined = join_columns(join_rows(pieces(page), sides[1]))
+            for p in wrap(joined, *sides) if wrapping else joined:
+                out.append({**{c: page[0][c] for c in key}, "line_no": p.line_no, "text": p.text, "x0": p.x0, "y0": p.y0, "x1": p.x1, "y1": p.y1, "size": p.size, "n_lines": p.n_lines, "steps": sorted(p.steps), "left": p.left})
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_pylist(out, arrow)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, arrow)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
-    return held.groupBy(*key).applyInPandas(build, f"{schema}, line_no long, text string, x0 double, y0 double, x1 double, y1 double, size double, n_lines long, steps array<string>, left double")
+    return held.repartition(*key).sortWithinPartitions(*key, "line_no").mapInArrow(build, schema)
 
 
 def reading_position(blocks: DataFrame, key: list[str], ident: str) -> DataFrame:
     """position (from 0) of each block on its page: by top, left and kind; blocks of one line's height that overlap the first of their row go
-    from left to right. Only ids and boxes travel to Python; texts are joined afterwards."""
-    slim = blocks.select(*key, ident, "kind", "x0", "y0", "x1", "y1", "size")
-
-    def place(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.assign(top=page["y0"].round(1)).sort_values(["top", "x0", "kind"], kind="stable").reset_index(drop=True)
-        flat = (page["size"].fillna(0) > 0) & (page["y1"] - page["y0"] <= ONE_LINE * page["size"].fillna(0))
-        row, first = [], None
-        for i, (y0, y1) in enumerate(zip(page["y0"], page["y1"], strict=True)):
-            goes = first is not None and flat[first] and flat[i] and _overlap(page["y0"][first], page["y1"][first], y0, y1) > ROW
-            first = first if goes else i
-            row.append(first)
-        page = page.assign(row=row).sort_values(["row", "x0", "kind"], kind="stable")
-        return page.assign(position=range(len(page)))[[*key, ident, "position"]]
-
-    types = {f.name: f.dataType.simpleString() for f in slim.schema}
-    placed = slim.groupBy(*key).applyInPandas(place, ", ".join(f"`{c}` {types[c]}" for c in (*key, ident)) + ", position long")
-    return blocks.join(placed, [*key, ident])
+    from left to right. Rows are found in one walk over sorted blocks; texts pass through as they are."""
+    own = blocks.columns
+    inner = StructType([*blocks.schema, *_parse_datatype_string("__row long")])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, number = None, 0  # the first block of the row (its page, top, bottom), and the row
+        for batch in batches:
+            found = []
+            page = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+            for k, y0, y1, size in zip(page, *(batch.column(c).to_pylist() for c in ("y0", "y1", "size")), strict=True):
+                flat = bool(size) and y1 - y0 <= ONE_LINE * size
+                if not (first and flat and first[0] == k and _overlap(first[1], first[2], y0, y1) > ROW):
+                    number += 1
+                    first = (k, y0, y1) if flat else None
+                found.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*own, "__row"])
+
+    ordered = blocks.repartition(*key).sortWithinPartitions(*key, F.round("y0", 1), "x0", "kind", ident)
+    position = F.row_number().over(Window.partitionBy(*key).orderBy("__row", "x0", "kind", ident)) - 1
+    return ordered.mapInArrow(rows, inner).withColumn("position", position.cast("long")).drop("__row")
 
 
 def assemble(lines: DataFrame, doc: list[str], others: DataFrame | None = None, rules: DataFrame | None = None) -> DataFrame:

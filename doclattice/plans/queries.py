@@ -515,7 +515,7 @@ def document_markdown(s: SparkSession, d: str) -> DataFrame:
 
 @query("row_fragments")
 def row_fragments(s: SparkSession, d: str) -> DataFrame:
-    return layout.join_fragments(page_boxes(s, d), ["doc_id", "page"]).select("doc_id", "page", "line_no", "fragment_of")
+    return page.flow(page_lines(s, d), ["doc_id", "page"], wrapping=False).select("doc_id", "page", "line_no", "text", F.size("steps").alias("n_steps"))
 
 
 @query("wrapped_paragraphs")

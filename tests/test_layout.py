@@ -3,15 +3,6 @@ import random
 from doclattice.operators import layout
 
 
-def boxes(spark, rows):
-    return spark.createDataFrame(rows, "page int, line_no long, text string, x0 double, y0 double, x1 double, y1 double, size double, starts_block boolean")
-
-
-def test_fragments(spark):
-    rows = [(1, 0, "a", 0.0, 0.0, 10.0, 10.0, 10.0, False), (1, 1, "b", 15.0, 0.0, 25.0, 10.0, 10.0, False), (1, 2, "far", 60.0, 0.0, 70.0, 10.0, 10.0, False), (1, 3, "big", 72.0, 0.0, 80.0, 10.0, 20.0, False)]
-    assert {r.line_no: r.fragment_of for r in layout.join_fragments(boxes(spark, rows), ["page"]).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
-
-
 def test_components_against_a_plain_search(spark):
     rng = random.Random(9)
     rows = [(p, b, x := rng.uniform(0, 100), y := rng.uniform(0, 100), x + rng.uniform(1, 15), y + rng.uniform(1, 15)) for p in range(5) for b in range(40)]
