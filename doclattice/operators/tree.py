@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from doclattice.session import materialize
+
 LEVELS = range(1, 7)
 #: Steps of an ancestor walk.
 HOPS = 16
@@ -40,14 +42,19 @@ def with_section_path(blocks: DataFrame, key: str = "doc_id", seq: str = "line_n
 
 
 def ancestors(blocks: DataFrame, key: str = "doc_id", ident: str = "line_no", parent: str = "parent", hops: int = HOPS) -> DataFrame:
-    """(key, node, ancestor, depth) up to hops steps, by doubling: joins grow with the logarithm of the depth."""
+    """(key, node, ancestor, depth) up to hops steps, by doubling: joins grow with the logarithm of the depth. What a round has found is
+    written, so the next one doesn't compute it again; rounds end when none finds more."""
     found = blocks.where(F.col(parent).isNotNull()).select(F.col(key).alias("k"), F.col(ident).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
-    step, reach = found, 1
+    found, reach = materialize(found, "ancestors"), 1
     while reach < hops:
-        right = step.select("k", F.col("node").alias("ancestor"), F.col("ancestor").alias("far"), F.col("depth").alias("more"))
-        longer = found.join(right, ["k", "ancestor"]).where(F.col("more") == reach).select("k", "node", F.col("far").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
-        found = found.unionByName(longer)
-        step, reach = found, reach * 2
+        # Chains of exactly reach steps, made longer by all that is known of where they end.
+        whole = found.where(F.col("depth") == reach)
+        right = found.select("k", F.col("node").alias("ancestor"), F.col("ancestor").alias("far"), F.col("depth").alias("more"))
+        longer = whole.join(right, ["k", "ancestor"]).select("k", "node", F.col("far").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        longer = materialize(longer, "ancestors")
+        if not longer.limit(1).count():
+            break
+        found, reach = found.unionByName(longer), reach * 2
     return found.where(F.col("depth") <= hops).select(F.col("k").alias(key), "node", "ancestor", "depth")
 
 

@@ -1,3 +1,3 @@
 """Registered queries."""
 
-from doclattice.plans import contracts, queries  # noqa: F401
+from doclattice.plans import contracts, queries, structures  # noqa: F401

@@ -352,9 +352,9 @@ def step_status_truth(s: SparkSession, d: str) -> DataFrame:
 
 @query("json_typed_fields", "SELECT event_id, CASE WHEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') THEN (props ->> '$.k')::BIGINT END AS k, coalesce(json_type(props, '$.k') IN ('UBIGINT', 'BIGINT'), false) AS valid FROM events")
 def json_typed_fields(s: SparkSession, d: str) -> DataFrame:
-    k = F.variant_get(F.try_parse_json("props"), "$.k", "string")
-    whole = F.coalesce(F.rlike(F.schema_of_variant(F.try_parse_json("props")), F.lit(r"k: BIGINT")), F.lit(False))
-    return table(s, d, "events").select("event_id", F.when(whole, k.cast("long")).alias("k"), whole.alias("valid"))
+    props = F.try_parse_json("props")
+    whole = F.coalesce(F.schema_of_variant(F.try_variant_get(props, "$.k", "variant")) == "BIGINT", F.lit(False))
+    return table(s, d, "events").select("event_id", F.when(whole, F.try_variant_get(props, "$.k", "bigint")).alias("k"), whole.alias("valid"))
 
 
 @query("context_missing_ratio", "WITH u AS (SELECT conv_id, CASE WHEN (conv_id + turn) % 4 = 0 THEN 1 ELSE 0 END AS hit FROM conversations) SELECT conv_id, round(avg(hit), 9) AS ratio, avg(hit) >= 0.3 AS widen FROM u GROUP BY conv_id")
