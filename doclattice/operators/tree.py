@@ -73,11 +73,14 @@ def tag_headings(headings: DataFrame, lexicon: DataFrame, text: str = "heading",
     """tag: of the equal lexicon word, or else of the longest word of at least `least` characters that begins the
     heading (the earlier on ties), or else SEC_UNKNOWN.
 
-    Prefixes of the headings meet the words in an equi-join, so the lexicon may be of any size.
+    Prefixes of the headings, of the lengths that words have, meet the words in an equi-join, so the lexicon may have any number of words.
     """
-    words = lexicon.groupBy("word").agg(F.min_by("tag", "seq").alias("tag"), F.min("seq").alias("seq"))
+    words = lexicon.where("word <> ''").groupBy("word").agg(F.min_by("tag", "seq").alias("tag"), F.min("seq").alias("seq"))
     longest = F.length(text)
-    prefixes = headings.select(text).distinct().where(longest > 0).select(text, F.explode(F.sequence(F.lit(1), longest)).alias("n"))
+    # No more numbers than the longest word has characters.
+    lengths = sorted(r.n for r in words.select(F.length("word").alias("n")).distinct().collect())
+    fit = F.filter(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"), lambda n: n <= longest)
+    prefixes = headings.select(text).distinct().select(text, F.explode(fit).alias("n"))
     prefixes = prefixes.where((F.col("n") >= least) | (F.col("n") == longest)).select(text, "n", F.expr(f"substring({text}, 1, n)").alias("word"))
     best = prefixes.join(words, "word").groupBy(text).agg(F.max_by("tag", F.struct("n", -F.col("seq"))).alias("tag"))
     return headings.join(best, text, "left").withColumn("tag", F.coalesce("tag", F.lit("SEC_UNKNOWN")))
