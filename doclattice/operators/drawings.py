@@ -148,3 +148,36 @@ def ruled_cells(h_rules: DataFrame, v_rules: DataFrame, page: list[str], toleran
     left = bands.join(beside("x", "l"), [*page, "x"]).where(holds("l")).select(*page, "x", "right", "y", "below").distinct()
     both = left.join(beside("right", "r"), [*page, "right"]).where(holds("r"))
     return both.select(*page, F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("right").alias("x1"), F.col("below").alias("y1")).distinct()
+
+
+def nearest_vertical_node(blocks: DataFrame, nodes: DataFrame, page: list[str], reach: float = 36.0) -> DataFrame:
+    """blocks beside a vertical node with `node`: the one to which it is nearest, then the leftmost, topmost, first by id.
+
+    A block is beside a node if its centre's height is within the node's, and the gap between them at most reach points. Both are cut into
+    bands of heights, so only those of one band meet."""
+    band = 50.0
+    cut = lambda df, y0, y1: df.withColumn("__band", F.explode(F.sequence(F.floor(F.col(y0) / band), F.floor(F.col(y1) / band))))
+    node = cut(nodes.select(*page, "node", *[F.col(c).alias(f"n_{c}") for c in ("x0", "y0", "x1", "y1")]), "n_y0", "n_y1")
+    middle = (F.col("y0") + F.col("y1")) / 2
+    met = blocks.withColumn("__band", F.floor(middle / band)).join(node, [*page, "__band"])
+    gap = F.greatest(F.col("x0") - F.col("n_x1"), F.col("n_x0") - F.col("x1"))
+    near = met.withColumn("__gap", gap).where(middle.between(F.col("n_y0"), F.col("n_y1")) & F.col("__gap").between(F.lit(0.0), F.lit(reach)))
+    first = F.min_by("node", F.struct("__gap", "n_x0", "n_y0", "node")).alias("node")
+    return near.groupBy(*page, "block_id").agg(first)
+
+
+def glyph_text(glyphs: DataFrame, key: list[str], apart: float = 2.0) -> DataFrame:
+    """Text of glyphs (ch, x0, y0, x1, y1) in rows: a glyph opens a row if its centre lies apart points or more below the row's first."""
+    centre = (F.col("y0") + F.col("y1")) / 2
+    ordered = F.array_sort(F.collect_list(F.struct(centre.alias("y"), F.col("x0").alias("x"), F.col("ch").alias("ch"))))
+    zero = F.array().cast("array<struct<y:double,glyphs:array<struct<x:double,ch:string>>>>")
+
+    def step(rows, g):
+        last = F.try_element_at(rows, F.lit(-1))
+        one = F.struct(g["x"].alias("x"), g["ch"].alias("ch"))
+        joined = F.struct(last["y"].alias("y"), F.concat(last["glyphs"], F.array(one)).alias("glyphs"))
+        fresh = F.struct(g["y"].alias("y"), F.array(one).alias("glyphs"))
+        return F.when((F.size(rows) > 0) & (g["y"] - last["y"] < apart), F.concat(F.slice(rows, 1, F.size(rows) - 1), F.array(joined))).otherwise(F.concat(rows, F.array(fresh)))
+
+    line = lambda r: F.trim(F.array_join(F.transform(F.array_sort(r["glyphs"]), lambda g: g["ch"]), ""))
+    return glyphs.groupBy(*key).agg(F.trim(F.array_join(F.transform(F.aggregate(ordered, zero, step), line), "\n")).alias("text"))

@@ -66,3 +66,52 @@ def require_same(frozen: Mapping[str, str], current: Mapping[str, str]) -> None:
     moved = sorted(k for k in frozen.keys() | current.keys() if frozen.get(k) != current.get(k))
     if moved:
         raise ValueError(f"specifications changed: {', '.join(moved)}")
+
+
+# Forms of the answers' fields.
+TEXT, WHOLE, TEXT_OR_NULL, WHOLE_OR_NULL = {"type": "string"}, {"type": "integer"}, {"type": ["string", "null"]}, {"type": ["integer", "null"]}
+STATUSES, ROLES, TABLE_STATES = ("determined", "partial", "undetermined", "not_applicable"), ("header", "body", "empty"), ("labeled", "unreadable")
+
+
+def one_of(values, null: bool = False) -> dict:
+    return {"type": ["string", "null"], "enum": [*values, None]} if null else {"type": "string", "enum": list(values)}
+
+
+def each(items: Mapping[str, object]) -> dict:
+    return {"type": "array", "items": dict(items)}
+
+
+def block_schema(moves: Mapping[str, Mapping]) -> dict:
+    """The schema of a block answer; what may be said comes from the catalogue of moves."""
+    span = strict_object({"quote": TEXT, "occurrence": WHOLE_OR_NULL, "row": WHOLE_OR_NULL, "col": WHOLE_OR_NULL})
+    steps = sorted({step for move in moves.values() for step in move.get("steps") or ()})
+    item = strict_object({"spec_field": one_of(moves["SPEC"]["field"]["enum"], null=True), "raw_label": TEXT, "value": TEXT, "evidence_span": span, "label_span": nullable(span), "reason": TEXT_OR_NULL})
+    annotation = strict_object(
+        {
+            "annotation_id": TEXT, "move": one_of(moves), "evidence_span": span, "context_block_ids": each(TEXT), "steps": each(strict_object({"step": one_of(steps), "evidence_span": span})),
+            "step_status": one_of(STATUSES), "step_reason": TEXT_OR_NULL, "undetermined_reason": one_of(moves["UNDETERMINED"]["reasons"], null=True), "spec_items": each(item),
+        }
+    )
+    judged = {"primary_annotation_id": TEXT_OR_NULL, "annotations": each(annotation)}
+    row = strict_object({"row": WHOLE, "role": one_of(ROLES), **judged})
+    table = strict_object({"table_status": one_of(TABLE_STATES), "table_reason": TEXT_OR_NULL, "header_rows": each(WHOLE), "row_header_cols": each(WHOLE), "rows": each(row)})
+    block = strict_object({"block_id": TEXT, **judged, "table": nullable(table)})
+    return strict_object({"schema_version": one_of(["rma-block-response-1"]), "request_id": TEXT, "blocks": each(block)})
+
+
+def document_schema(types, topics) -> dict:
+    """The schema of a document answer."""
+    span = strict_object({"block_id": TEXT, "quote": TEXT, "occurrence": WHOLE_OR_NULL})
+    return strict_object(
+        {
+            "schema_version": one_of(["rma-doc-response-1"]), "request_id": TEXT, "document_type": one_of(types, null=True), "document_type_evidence": nullable(span), "document_type_reason": TEXT_OR_NULL,
+            "document_topics": {"anyOf": [each(one_of(topics)), {"type": "null"}]}, "document_topics_evidence": each(span), "document_topics_reason": TEXT_OR_NULL, "outline_id": TEXT_OR_NULL, "outline_reason": TEXT_OR_NULL,
+        }
+    )
+
+
+def no_document_answer(request_id: str, reason: str) -> dict:
+    """The document answer where none was valid: every judgement null, with the reason."""
+    empty = {name: ([] if "array" == form.get("type") else None) for name, form in document_schema((), ())["properties"].items()}
+    reasons = {name: reason for name in empty if name.endswith("_reason")}
+    return empty | reasons | {"schema_version": "rma-doc-response-1", "request_id": request_id}
