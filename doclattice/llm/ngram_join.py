@@ -92,8 +92,7 @@ def _ordered(keys: np.ndarray, heavy: np.ndarray, rank: np.ndarray, demoted: np.
 def demoted_shingles(prefixes: DataFrame, hot: int = HOT) -> np.ndarray | None:
     """The bitmap, as 64-bit words, of the light shingles that more than hot prefixes hold; none if there is no such shingle."""
     light = prefixes.select(F.explode("prefix").alias("shingle")).where("shingle >= 0").groupBy("shingle").agg(F.count("*").alias("n"))
-    light = light.where("n > 1")
-    total = light.agg(F.sum("n")).first()[0] or 0
+    total = prefixes.agg(F.sum(F.size("prefix"))).first()[0] or 0
     word, bit = F.expr(f"shiftright(shingle & {DEMOTED_BITS - 1}L, 6)"), F.expr("shiftleft(1L, cast(shingle & 63L as int))")
     # DEMOTED_BITS / 64 rows at most.
     words64 = light.where(F.col("n") > max(hot, 2 * total // DEMOTED_BITS)).select(word.alias("word"), bit.alias("bit"))
