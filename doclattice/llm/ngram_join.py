@@ -11,7 +11,8 @@
    shingle's pivot group (the one that has it earliest) is compared with the other groups there: a star,
    linear in the postings. Links that verification confirms merge documents into components. Only then
    are the pairs between different components made, so a family of near copies costs a star and not its
-   square; such pairs meet by shingle and class of size, so that sizes which can't link don't meet.
+   square; such pairs meet by shingle and class of size, so that sizes which can't link don't meet, and only where
+   the shingle may be their first shared one. Then whole prefixes are counted.
 4. Surviving group pairs expand to members, and the members' whole texts are compared exactly.
 
 Result: one row per document: doc_id, n_shingles, component_id. A null text has no words; a document
@@ -186,6 +187,20 @@ def _could_link(limit: Threshold, n1: str, p1: str, n2: str, p2: str) -> Column:
     return _sizes(limit, n1, n2) & (F.col(p1) <= a - least) & (F.col(p2) <= b - least)
 
 
+def _seeds(mixed: DataFrame, limit: Threshold) -> DataFrame:
+    """Group pairs (a, b), repeats included, by the postings (shingle, gid, n, pos, lo, hi) that may be their first shared one."""
+    # Sizes that can link are of one class or of neighbouring ones; the smaller class looks for its own and the next.
+    mixed = mixed.withColumn("class", F.floor(F.log("n") / (1.001 * math.log(limit.den / limit.num))).cast("int") if limit.num < limit.den else F.col("n"))
+    right = mixed.select(
+        "shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
+        F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"),
+    )
+    apart = F.least("lo", "lo2") < F.greatest("hi", "hi2")
+    once = (F.col("own") > F.col("class")) | (F.col("gid") < F.col("other"))
+    pairs = mixed.join(right, ["shingle", "class"]).where(once & apart & _could_link(limit, "n", "pos", "m", "at"))
+    return pairs.select(F.least("gid", "other").alias("a"), F.greatest("gid", "other").alias("b"))
+
+
 PROFILE = "doc_id long, n long, s1 long, s2 long, prefix array<long>"
 
 
@@ -251,25 +266,18 @@ def ngram_components(docs: DataFrame, k: int = 4, limit: Threshold = Threshold()
     labelled = materialize(labelled, "labelled")
     spread = labelled.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("shingle")
     mixed = materialize(labelled.join(spread, "shingle", "left_semi"), "mixed")
-    # Sizes that can link are of one class or of neighbouring ones; the smaller class looks for its own and the next.
-    mixed = mixed.withColumn("class", F.floor(F.log("n") / (1.001 * math.log(limit.den / limit.num))).cast("int") if limit.num < limit.den else F.col("n"))
-    right = mixed.select(
-        "shingle", F.col("gid").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
-        F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"),
-    )
-    apart = F.least("lo", "lo2") < F.greatest("hi", "hi2")
-    once = (F.col("own") > F.col("class")) | (F.col("gid") < F.col("other"))
-    # All shared shingles of a pair are counted, those too that the position filter would refuse as the first one.
-    cross = (
-        mixed.join(right, ["shingle", "class"]).where(once & apart & _sizes(limit, "n", "m"))
-        .groupBy("gid", "other", "n", "m").agg(F.count("*").alias("common"), F.min("pos").alias("pos"), F.min("at").alias("at"))
-    )
-    # Count filter: what the prefixes don't share must be made up for by what comes after them.
-    longest = F.ceil(F.greatest("n", "m") * limit.num / limit.den) - 1
-    cross = cross.where(_could_link(limit, "n", "pos", "m", "at") & (F.col("common") + longest >= limit.overlap(F.col("n"), F.col("m"))))
-    cross = cross.select(F.least("gid", "other").alias("a"), F.greatest("gid", "other").alias("b"))
+    # A pair comes from shared shingles that may be its first one, so a family's common shingles bring no pair of members whose
+    # own ones come before them. Tables that only served to find pairs go before texts are dealt.
+    seeds = materialize(_seeds(mixed, limit).distinct().join(star, ["a", "b"], "left_anti"), "seeds", small=True)
+    for done in (live, labelled, mixed):
+        drop_materialized(done)
+    # Count filter: what whole prefixes don't share must be made up for by what comes after them.
+    one, two = (profiles.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("prefix").alias(f"p{x}")) for x in "ab")
+    cross = seeds.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("pa", "pb")))
+    longest = F.ceil(F.greatest("na", "nb") * limit.num / limit.den) - 1
+    cross = cross.where(F.col("common") + longest >= limit.overlap(F.col("na"), F.col("nb"))).select("a", "b").distinct()
     # Stars have compared all members of their pairs; of the other pairs, members of one component need no comparison.
-    rest = _expand(cross.join(star, ["a", "b"], "left_anti"), members)
+    rest = _expand(materialize(cross, "cross", small=True), members)
     one, two = (label.select(F.col("member").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
     rest = rest.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     # Groups of several members whose members did not all link with the first: their other pairs.

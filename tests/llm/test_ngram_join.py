@@ -154,3 +154,27 @@ def test_random_families_with_quotes(spark, num, hot):
         rng.shuffle(family)
         families.append([" ".join(words) for words in family])
     families_agree(spark, families, 4, num, hot)
+
+
+def join_rows(spark, since):
+    """Rows out of the largest join, and how many queries the session has run."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, most = store.executionsList(), 0
+    for i in range(since, runs.size()):
+        values, nodes = store.executionMetrics(runs.apply(i).executionId()), store.planGraph(runs.apply(i).executionId()).allNodes()
+        for node in (nodes.apply(j) for j in range(nodes.size())):
+            for m in (node.metrics().apply(j) for j in range(node.metrics().size() if "Join" in node.name() else 0)):
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most, runs.size()
+
+
+def test_family_and_strays_make_no_pair_a_shared_shingle(spark):
+    """Near copies share their base's shingles, but too late in the order of most strays to link."""
+    docs = list(enumerate(near_copies(random.Random(3), 500, 150, 6)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    _, since = join_rows(spark, 1 << 30)
+    got = sorted(map(tuple, ngram_components(frame).collect()), key=str)
+    most, _ = join_rows(spark, since)
+    assert got == brute(docs)
+    assert 0 < most < 40 * len(docs), most
