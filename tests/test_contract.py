@@ -68,6 +68,15 @@ def test_citations(spark):
     assert details(rules.citation_faults(cited, register.where("law <> '나법'"), ["i", "written"])) == [("LAW-01", "나법"), ("LAW-02", "다법 9"), ("LAW-03", "가법 3"), ("LAW-03", "가법 4")]
 
 
+def test_no_register_is_broadcast(spark):
+    """An exploded register is larger than its estimate, so no join may depend on that."""
+    cited = spark.createDataFrame([(1, 10, 1, date(2026, 1, 1)), (2, 20, 9, date(2026, 1, 1)), (3, 30, 1, date(2026, 1, 1)), (4, 10, 2, date(2019, 1, 1))], "i int, law long, article long, written date")
+    register = spark.range(10, 30, 10).selectExpr("id law", "explode(sequence(1L, 5L)) article", "date '2020-01-01' since", "cast(null as date) until")
+    faults = rules.citation_faults(cited, register, ["i"])
+    assert "Broadcast" not in faults._jdf.queryExecution().executedPlan().toString()
+    assert details(faults) == [("LAW-01", "30"), ("LAW-02", "20 9"), ("LAW-03", "10 2")]
+
+
 def test_awaiting_judgement(spark):
     sections = spark.createDataFrame([("d", "s1", "SEC_EFFECT"), ("d", "s2", "SEC_EFFECT"), ("e", "s1", "SEC_PLAN")], "document_id string, section_id string, tag string")
     ann = spark.createDataFrame([("d", "s1", "EFFECT", ["QUANTITATIVE"]), ("d", "s2", "EFFECT", ["QUALITATIVE"]), ("e", "s1", "GROUNDS", [])], "document_id string, section_id string, move string, steps array<string>")
